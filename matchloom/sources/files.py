@@ -158,18 +158,25 @@ MATCH_SCHEMA = (
 )
 
 
-def _read_whole_json(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+def _read_whole_json(spark: SparkSession, paths: str | Sequence[str], schema: str, glob: str) -> DataFrame:
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     files = text.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias(SOURCE))
     return files.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
 
 
 def read_lineup_json(
-    spark: SparkSession, paths: str | Sequence[str], schema: str = LINEUP_SCHEMA
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str = LINEUP_SCHEMA,
+    glob: str = "*.json",
+    match_id: str = r"(\d+)\.json$",
 ) -> tuple[DataFrame, DataFrame]:
-    """One row per line-up player of files ``[home, away]`` named by match id; and the bad files."""
-    files = _read_whole_json(spark, paths, schema).withColumn(
-        "match_id", F.regexp_extract(SOURCE, r"(\d+)\.json$", 1).try_cast("bigint")
+    """One row per line-up player of files ``[home, away]``; and the bad files.
+
+    ``match_id`` finds the id in the path. A file is one match, so it is read whole.
+    """
+    files = _read_whole_json(spark, paths, schema, glob).withColumn(
+        "match_id", F.regexp_extract(SOURCE, match_id, 1).try_cast("bigint")
     )
     whole = (
         F.col("match_id").isNotNull()
@@ -189,10 +196,10 @@ def read_lineup_json(
 
 
 def read_match_json(
-    spark: SparkSession, paths: str | Sequence[str], schema: str = MATCH_SCHEMA
+    spark: SparkSession, paths: str | Sequence[str], schema: str = MATCH_SCHEMA, glob: str = "*.json"
 ) -> tuple[DataFrame, DataFrame]:
     """One row per match of files that hold arrays of matches; and the bad files."""
-    files = _read_whole_json(spark, paths, schema)
+    files = _read_whole_json(spark, paths, schema, glob)
     good = files.filter(F.col("items").isNotNull()).select(F.explode("items").alias("m"))
     return (
         good.filter(F.col("m.match_id").isNotNull()).select("m.*"),

@@ -146,8 +146,10 @@ def read_extract(spark, d):
 )
 def write_partitioned(spark, d):
     path = work_folder(spark, "partitioned")
-    keys = ["Country", "Gender", "Tier"]
-    results = run(spark, d, RESULTS).select("MatchKey", F.col("Date").cast("string").alias("Date"), "Notes", *keys)
+    keys = ["Gender", "Tier"]
+    results = run(spark, d, RESULTS).select(
+        "MatchKey", F.col("Date").cast("string").alias("Date"), "Notes", "Country", *keys
+    )
     tables.write_partitioned(results, path, keys)
     # writing some leagues again replaces those and leaves the rest
     tables.write_partitioned(results.filter("Tier = '1'"), path, keys)
@@ -177,7 +179,7 @@ def register_extracts(spark, d):
     )
 
 
-UPSERT = """SELECT Country, CASE WHEN Tier = '1' AND Country = 'NATION_3' THEN 'NA_character_' ELSE Notes END AS Notes,
+UPSERT = """SELECT CASE WHEN Country = 'NATION_3' THEN Country ELSE 'OTHER' END AS Country, CASE WHEN Tier = '1' AND Country = 'NATION_3' THEN 'NA_character_' ELSE Notes END AS Notes,
     MatchKey, MatchURL AS Game_URL, 'file' AS MatchURL, Date AS Match_Date, CAST(0 AS bigint) AS Season_End_Year,
     Gender, Tier FROM {results}"""
 

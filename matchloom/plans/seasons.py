@@ -65,13 +65,15 @@ def merge_season_files(
     countries: dict[str, str] | None = None,
     gender: str = "M",
     tier: str = "1st",
+    glob: str | None = None,
+    pattern: str = "{Season_End_Year}_*.csv",
 ) -> None:
     """All ``{year}_*_{stat}_{level}.csv`` as one table, partitioned by league and sorted.
 
     Rows are sorted by season and squad (and player) within each file.
     """
-    raw = drop_junk_columns(read_csv_union(spark, folder, f"*_{stat}_{level}.csv"))
-    keyed = with_file_keys(raw, "{Season_End_Year}_*.csv").drop(SOURCE)
+    raw = drop_junk_columns(read_csv_union(spark, folder, glob or f"*_{stat}_{level}.csv"))
+    keyed = with_file_keys(raw, pattern).drop(SOURCE)
     country = map_value(F.col("Comp"), COMP_COUNTRY if countries is None else countries, "null")
     df = stamp(keyed, Gender=gender, Tier=tier).withColumn("Country", country)
     df = df.filter(F.col("Country").isNotNull())
@@ -83,9 +85,16 @@ def merge_season_files(
     writer.partitionBy(*LEAGUE_KEYS).parquet(out)
 
 
-def historical_results(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
+def historical_results(
+    spark: SparkSession,
+    folder: str,
+    first: int,
+    last: int,
+    glob: str = "s_*.csv",
+    pattern: str = "s_{Season}_*.csv",
+) -> DataFrame:
     """Season files ``s_{label}_{league}.csv`` of a span of years, stamped with their season."""
-    raw = with_file_keys(read_csv_union(spark, folder, "s_*.csv"), "s_{Season}_*.csv").drop(SOURCE)
+    raw = with_file_keys(read_csv_union(spark, folder, glob), pattern).drop(SOURCE)
     years = spark.range(first, last + 1).select(season_label(F.col("id")).alias("Season"))
     return drop_all_null_columns(raw.join(F.broadcast(years), "Season", "left_semi"))
 

@@ -53,7 +53,7 @@ ITEMS = """SELECT concat('https://x.test/en/matches/', CAST(l_orderkey AS string
     o_orderstatus AS Gender, l_returnflag AS Country, substr(o_orderpriority, 1, 1) AS Tier,
     CAST(CASE WHEN month(o_orderdate) <= 7 THEN year(o_orderdate) ELSE year(o_orderdate) + 1 END AS bigint)
         AS Season_End_Year,
-    CAST(CAST(o_orderdate AS date) AS string) AS Match_Date,
+    CAST(o_orderdate AS date) AS Match_Date,
     'L' AS League, CAST(month(o_orderdate) AS string) AS Matchweek,
     concat('C', CAST(o_custkey AS string)) AS Home_Team,
     CASE WHEN o_totalprice < 100000 THEN NULL ELSE '4-3-3' END AS Home_Formation,

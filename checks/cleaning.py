@@ -221,7 +221,7 @@ _MATCH = ", ".join(k for k in ITEM_MATCH_KEYS if k not in TEAM_KEYS)
 @check(
     "P16_select_stat_columns",
     with_tables(
-        f"""SELECT DISTINCT {_KEYS}, {_MATCH}, "Int", "Tkl+Int", "Def 3rd_Tackles" FROM defense""",
+        f"""SELECT DISTINCT {_KEYS}, {_MATCH.replace("Match_Date", "CAST(Match_Date AS string) AS Match_Date")}, "Int", "Tkl+Int", "Def 3rd_Tackles" FROM defense""",
         items=ITEMS,
         defense=family_sql("defense", "duckdb"),
     ),
@@ -231,5 +231,6 @@ def select_stat_columns(spark, d):
     rows = run(spark, d, family_sql("defense", "spark"), items=items)
     text = rows.withColumns({c: quoted(c).cast("string") for c in FAMILY_STATS["defense"]})
     keys = [k for k in TEAM_KEYS if k in ITEM_KEYS]
-    return ops.select_stat_columns(text, "defense", "team", keys, ITEM_MATCH_KEYS)
+    chosen = ops.select_stat_columns(text, "defense", "team", keys, ITEM_MATCH_KEYS)
+    return chosen.withColumn("Match_Date", F.col("Match_Date").cast("string"))
 

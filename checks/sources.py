@@ -87,36 +87,38 @@ def with_file_keys(spark, d):
 
 
 @check(
-    "S4_read_lineup_json",
-    """SELECT 'lineup' AS kind, o_custkey AS match_id, CASE WHEN o_orderstatus = 'O' THEN 'home' ELSE 'away' END AS
-    side, CAST(row_number() OVER (PARTITION BY o_custkey, o_orderstatus = 'O' ORDER BY o_orderkey) - 1 AS bigint)
-    AS position, o_orderkey AS player_id, o_orderpriority AS name FROM orders
-    UNION ALL SELECT 'match', o_orderkey, NULL, NULL, CAST(o_custkey AS bigint), o_orderpriority FROM orders""",
+    "S4_json_documents",
+    """SELECT 'lineup' AS kind, l_orderkey AS match_id, CASE WHEN l_linestatus = 'O' THEN 'home' ELSE 'away' END AS
+    side, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_partkey, l_returnflag) - 1 AS bigint)
+    AS position, l_partkey AS player_id, l_returnflag AS name FROM lineitem WHERE l_orderkey NOT IN
+    (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+    UNION ALL SELECT 'match', o_orderkey, NULL, NULL, o_custkey, o_orderpriority FROM orders
+    UNION ALL SELECT DISTINCT 'bad', o_orderkey, NULL, NULL, NULL, NULL FROM orders JOIN lineitem
+    ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'""",
 )
-def read_json(spark, d):
-    orders = load(spark, d, "orders")
-    player = F.struct(F.col("o_orderkey").alias("player_id"), F.col("o_orderpriority").alias("player_name"))
+def json_documents(spark, d):
+    """Documents stored in a table; those of one order status are cut off and so unreadable."""
+    items, orders = load(spark, d, "lineitem"), load(spark, d, "orders")
+    player = F.struct(F.col("l_partkey").alias("player_id"), F.col("l_returnflag").alias("player_name"))
 
     def team(number, where):
         lineup = F.array_sort(F.collect_list(F.when(where, player)))
         return F.struct(F.lit(number).alias("team_id"), F.lit(f"t{number}").alias("team_name"), lineup.alias("lineup"))
 
-    home = F.col("o_orderstatus") == "O"
-    sides = orders.groupBy(F.col("o_custkey").alias("match_id")).agg(
+    home = F.col("l_linestatus") == "O"
+    sides = items.groupBy(F.col("l_orderkey").alias("match_id")).agg(
         F.to_json(F.array(team(1, home), team(2, ~home))).alias("value")
     )
-    lineups = work_folder(spark, "lineups")
-    sides.write.partitionBy("match_id").text(lineups)
+    status = orders.select(F.col("o_orderkey").alias("match_id"), "o_orderstatus")
+    cut = F.when(F.col("o_orderstatus") == "P", F.substring("value", 2, 9)).otherwise(F.col("value"))
+    stored = sides.join(status, "match_id").select("match_id", cut.alias("value"))
     match = F.struct(
         F.col("o_orderkey").alias("match_id"),
         F.col("o_custkey").alias("home_score"),
         F.struct(F.lit(1).alias("season_id"), F.col("o_orderpriority").alias("season_name")).alias("season"),
     )
-    matches = work_folder(spark, "matches")
-    by_customer = orders.groupBy("o_custkey").agg(F.to_json(F.collect_list(match)).alias("value"))
-    by_customer.write.partitionBy("o_custkey").text(matches)
-    players, _ = files.read_lineup_json(spark, lineups, glob="*.txt", match_id=r"match_id=(\d+)/")
-    found, _ = files.read_match_json(spark, matches, glob="*.txt")
+    players, bad = files.lineup_documents(stored)
+    found, _ = files.match_documents(orders.select(F.to_json(F.array(match)).alias("value")))
     a = players.select(
         F.lit("lineup").alias("kind"),
         "match_id",
@@ -125,11 +127,9 @@ def read_json(spark, d):
         "player_id",
         F.col("player_name").alias("name"),
     )
-    none = F.lit(None)
-    b = found.select(
-        F.lit("match"), "match_id", none.cast("string"), none.cast("bigint"), "home_score", "season.season_name"
-    )
-    return a.unionAll(b)
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    b = found.select(F.lit("match"), "match_id", text, number, "home_score", "season.season_name")
+    return a.unionAll(b).unionAll(bad.select(F.lit("bad"), "match_id", text, number, number, text))
 
 
 @check("S5_read_extract", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -39,8 +39,7 @@ def map_value(column: Column, mapping: dict, default: str = "keep") -> Column:
 
 def to_double(column: Column) -> Column:
     """Number text to double; dirty cells and NaN become null."""
-    number = column.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nullif(column.try_cast("double"), F.lit(float("nan")))
 
 
 def float_to_int(column: Column) -> Column:

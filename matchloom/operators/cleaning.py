@@ -202,9 +202,18 @@ _COMMON_CASTS = {
 
 
 def select_stat_columns(
-    df: DataFrame, family: str, level: str, keys: Sequence[str], match_keys: Sequence[str]
+    df: DataFrame,
+    family: str,
+    level: str,
+    keys: Sequence[str],
+    match_keys: Sequence[str],
+    distinct: bool = True,
 ) -> DataFrame:
-    """Distinct rows of one family at team or player level: keys and its statistics."""
+    """Rows of one family at team or player level: keys and its statistics.
+
+    Rows are made distinct, which costs a shuffle; a caller that takes maxima or
+    distinct rows later can leave that out.
+    """
     stats = family_types(family)
     casts = {**_COMMON_CASTS, **stats}
     wanted = [*keys, *[c for c in match_keys if c not in keys]]
@@ -212,5 +221,12 @@ def select_stat_columns(
         person = {"Player_Href", "Min"} | ({"Player", "Nation", "Age"} if family == "keeper" else set())
         wanted = [c for c in wanted if c not in person]
     wanted += [c for c in df.columns if c in stats and c not in wanted]
-    typed = [cast_to(quoted(c), casts[c]).alias(c) if c in casts else quoted(c) for c in wanted]
-    return df.select(*typed).distinct()
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def typed(c: str) -> Column:
+        if c not in casts or (have.get(c) == casts[c] and not isinstance(casts[c], T.DoubleType)):
+            return quoted(c)
+        return cast_to(quoted(c), casts[c]).alias(c)
+
+    chosen = df.select(*map(typed, wanted))
+    return chosen.distinct() if distinct else chosen

@@ -158,33 +158,25 @@ MATCH_SCHEMA = (
 )
 
 
-def _read_whole_json(spark: SparkSession, paths: str | Sequence[str], schema: str, glob: str) -> DataFrame:
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    files = text.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias(SOURCE))
-    return files.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+def read_documents(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
+    """Whole JSON files, one per row, with the path. A file is one match or one season."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    return reader.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias(SOURCE))
 
 
-def read_lineup_json(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    schema: str = LINEUP_SCHEMA,
-    glob: str = "*.json",
-    match_id: str = r"(\d+)\.json$",
-) -> tuple[DataFrame, DataFrame]:
-    """One row per line-up player of files ``[home, away]``; and the bad files.
+def lineup_documents(documents: DataFrame, schema: str = LINEUP_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """One row per line-up player of documents ``[home, away]``; and the bad documents.
 
-    ``match_id`` finds the id in the path. A file is one match, so it is read whole.
+    ``documents`` has match_id and value, from files or from a stored column.
     """
-    files = _read_whole_json(spark, paths, schema, glob).withColumn(
-        "match_id", F.regexp_extract(SOURCE, match_id, 1).try_cast("bigint")
-    )
+    parsed = documents.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
     whole = (
         F.col("match_id").isNotNull()
         & (F.size("items") == 2)
         & F.forall("items", lambda t: t.isNotNull() & t["lineup"].isNotNull())
     )
     whole = F.coalesce(whole, F.lit(False))
-    teams = files.filter(whole).select("match_id", F.posexplode("items").alias("side", "team"))
+    teams = parsed.filter(whole).select("match_id", F.posexplode("items").alias("side", "team"))
     players = teams.select(
         "match_id",
         F.when(F.col("side") == 0, "home").otherwise("away").alias("side"),
@@ -192,16 +184,28 @@ def read_lineup_json(
         F.col("team.team_name").alias("team_name"),
         F.posexplode("team.lineup").alias("position", "player"),
     ).select("match_id", "side", "team_id", "team_name", "position", "player.*")
-    return players, files.filter(~whole).select(SOURCE, "value")
+    return players, parsed.filter(~whole).drop("items")
 
 
-def read_match_json(
-    spark: SparkSession, paths: str | Sequence[str], schema: str = MATCH_SCHEMA, glob: str = "*.json"
-) -> tuple[DataFrame, DataFrame]:
-    """One row per match of files that hold arrays of matches; and the bad files."""
-    files = _read_whole_json(spark, paths, schema, glob)
-    good = files.filter(F.col("items").isNotNull()).select(F.explode("items").alias("m"))
+def match_documents(documents: DataFrame, schema: str = MATCH_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """One row per match of documents that hold arrays of matches; and the bad documents."""
+    parsed = documents.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    found = parsed.filter(F.col("items").isNotNull()).select(F.explode("items").alias("m"))
     return (
-        good.filter(F.col("m.match_id").isNotNull()).select("m.*"),
-        files.filter(F.col("items").isNull()).select(SOURCE, "value"),
+        found.filter(F.col("m.match_id").isNotNull()).select("m.*"),
+        parsed.filter(F.col("items").isNull()).drop("items"),
     )
+
+
+def read_lineup_json(
+    spark: SparkSession, paths: str | Sequence[str], schema: str = LINEUP_SCHEMA
+) -> tuple[DataFrame, DataFrame]:
+    """Line-up files named by match id."""
+    number = F.regexp_extract(SOURCE, r"(\d+)\.json$", 1).try_cast("bigint")
+    return lineup_documents(read_documents(spark, paths).withColumn("match_id", number), schema)
+
+
+def read_match_json(
+    spark: SparkSession, paths: str | Sequence[str], schema: str = MATCH_SCHEMA
+) -> tuple[DataFrame, DataFrame]:
+    return match_documents(read_documents(spark, paths), schema)

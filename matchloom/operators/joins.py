@@ -144,14 +144,13 @@ def key_coverage(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     """Whole keys on one side only: ``lost`` by cleaning or ``gained`` by it."""
     cols = list(map(quoted, keys))
     marked = (
-        before.select(*cols, F.lit(1).alias("b"), F.lit(0).alias("a"))
-        .unionAll(after.select(*cols, F.lit(0).alias("b"), F.lit(1).alias("a")))
+        before.select(*cols, F.lit(1).alias("_before"), F.lit(0).alias("_after"))
+        .unionAll(after.select(*cols, F.lit(0).alias("_before"), F.lit(1).alias("_after")))
         .dropna(subset=list(keys))
     )
-    seen = marked.groupBy(*cols).agg(F.max("b").alias("b"), F.max("a").alias("a"))
-    return seen.filter(F.col("a") != F.col("b")).select(
-        *cols, F.when(F.col("b") == 1, "lost").otherwise("gained").alias("change")
-    )
+    seen = marked.groupBy(*cols).agg(F.max("_before").alias("_before"), F.max("_after").alias("_after"))
+    change = F.when(F.col("_before") == 1, "lost").otherwise("gained").alias("change")
+    return seen.filter(F.col("_before") != F.col("_after")).select(*cols, change)
 
 
 def orphans(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

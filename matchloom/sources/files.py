@@ -66,6 +66,12 @@ def header_columns(header: str) -> list[str]:
     return names
 
 
+def _file_path():
+    """The path as it is named: Spark gives it as a URI, with some characters escaped."""
+    uri = F.col("_metadata.file_path")
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+
+
 def read_csv_union(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
     """All CSV files of a folder as one frame of strings, unified by column name.
 
@@ -81,7 +87,7 @@ def read_csv_union(spark: SparkSession, paths: str | Sequence[str], glob: str =
     for group in sorted(groups, key=lambda g: g["paths"][0]):
         schema = T.StructType([T.StructField(n, T.StringType()) for n in header_columns(group["header"])])
         reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-        frames.append(reader.csv(group["paths"]).withColumn(SOURCE, F.col("_metadata.file_path")))
+        frames.append(reader.csv(group["paths"]).withColumn(SOURCE, _file_path()))
     return relaxed_union(frames)
 
 
@@ -161,7 +167,7 @@ MATCH_SCHEMA = (
 def read_documents(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.json") -> DataFrame:
     """Whole JSON files, one per row, with the path. A file is one match or one season."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    return reader.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias(SOURCE))
+    return reader.text(paths, wholetext=True).select("value", _file_path().alias(SOURCE))
 
 
 def lineup_documents(documents: DataFrame, schema: str = LINEUP_SCHEMA) -> tuple[DataFrame, DataFrame]:

@@ -25,13 +25,11 @@ def collapse(spark, d):
 
 @check(
     "A2_wage_totals",
-    """SELECT Comp, Team, Season, round(COALESCE(sum(WeeklyWageGBP), 0), 2) AS TotalWages,
-    round(avg(WeeklyWageGBP), 4) AS AvgWages FROM wages GROUP BY Comp, Team, Season""",
+    """SELECT Comp, Team, Season, COALESCE(sum(WeeklyWageGBP), 0) AS TotalWages, avg(WeeklyWageGBP) AS AvgWages FROM wages GROUP BY Comp, Team, Season""",
     wages=WAGES,
 )
 def wage_totals(spark, d):
-    totals = ops.wage_totals(run(spark, d, WAGES))
-    return totals.withColumns({"TotalWages": F.round("TotalWages", 2), "AvgWages": F.round("AvgWages", 4)})
+    return ops.wage_totals(run(spark, d, WAGES))
 
 
 @check(
@@ -48,15 +46,14 @@ def counts_by(spark, d):
 
 @check(
     "A4_null_profile",
-    """SELECT Country, Gender, Tier, round(avg(CASE WHEN MatchURL IS NULL THEN 1 ELSE 0 END), 6) AS MatchURL,
-    round(avg(CASE WHEN Notes IS NULL THEN 1 ELSE 0 END), 6) AS Notes,
-    round(avg(CASE WHEN Date IS NULL THEN 1 ELSE 0 END), 6) AS Date FROM results GROUP BY Country, Gender, Tier""",
+    """SELECT Country, Gender, Tier, avg(CASE WHEN MatchURL IS NULL THEN 1 ELSE 0 END) AS MatchURL,
+    avg(CASE WHEN Notes IS NULL THEN 1 ELSE 0 END) AS Notes,
+    avg(CASE WHEN Date IS NULL THEN 1 ELSE 0 END) AS Date FROM results GROUP BY Country, Gender, Tier""",
     results=RESULTS,
 )
 def null_profile(spark, d):
     rows = run(spark, d, RESULTS).select("Country", "Gender", "Tier", "MatchURL", "Notes", "Date")
-    profile = ops.null_profile(rows, ["Country", "Gender", "Tier"])
-    return profile.withColumns({c: F.round(c, 6) for c in ("MatchURL", "Notes", "Date")})
+    return ops.null_profile(rows, ["Country", "Gender", "Tier"])
 
 
 @check(
@@ -77,10 +74,10 @@ def null_profile_summary(spark, d):
 
 @check(
     "A6_share_true",
-    """SELECT 'day' AS bucket, CAST(Date AS string) AS Date, round(avg(CASE WHEN MatchURL LIKE '%History%' THEN 0.0
-    WHEN MatchURL IS NULL THEN NULL ELSE 1.0 END), 6) AS share FROM results GROUP BY Date
-    UNION ALL SELECT 'month', CAST(last_day(Date) AS string), round(avg(CASE WHEN MatchURL LIKE '%History%' THEN 0.0
-    WHEN MatchURL IS NULL THEN NULL ELSE 1.0 END), 6) FROM results GROUP BY last_day(Date)""",
+    """SELECT 'day' AS bucket, CAST(Date AS string) AS Date, avg(CASE WHEN MatchURL LIKE '%History%' THEN 0
+    WHEN MatchURL IS NULL THEN NULL ELSE 1 END) AS share FROM results GROUP BY Date
+    UNION ALL SELECT 'month', CAST(last_day(Date) AS string), avg(CASE WHEN MatchURL LIKE '%History%' THEN 0
+    WHEN MatchURL IS NULL THEN NULL ELSE 1 END) FROM results GROUP BY last_day(Date)""",
     results=RESULTS,
 )
 def share_true(spark, d):
@@ -88,7 +85,7 @@ def share_true(spark, d):
     correct = ~F.col("MatchURL").contains("History")
     parts = [
         ops.share_true(results, correct, F.col("Date"), b).select(
-            F.lit(b).alias("bucket"), F.col("Date").cast("string").alias("Date"), F.round("share", 6).alias("share")
+            F.lit(b).alias("bucket"), F.col("Date").cast("string").alias("Date"), "share"
         )
         for b in ("day", "month")
     ]
@@ -138,8 +135,8 @@ def coverage_pivot(spark, d):
 
 @check(
     "A10_wage_history",
-    """SELECT 'team' AS choice, Season, Player AS name, round(sum(AnnualWageGBP), 2) AS AnnualWageGBP FROM wages
-    WHERE Team = 'N3' GROUP BY Season, Player UNION ALL SELECT 'player', Season, Team, round(sum(AnnualWageGBP), 2)
+    """SELECT 'team' AS choice, Season, Player AS name, sum(AnnualWageGBP) AS AnnualWageGBP FROM wages
+    WHERE Team = 'N3' GROUP BY Season, Player UNION ALL SELECT 'player', Season, Team, sum(AnnualWageGBP)
     FROM wages WHERE Player = 'Customer#000000010' GROUP BY Season, Team""",
     wages=WAGES,
 )
@@ -147,8 +144,7 @@ def wage_history(spark, d):
     wages = run(spark, d, WAGES)
     team = ops.wage_history(wages, "Team", "N3", "Player").withColumnRenamed("Player", "name")
     player = ops.wage_history(wages, "Player", "Customer#000000010", "Team").withColumnRenamed("Team", "name")
-    both = team.select(F.lit("team").alias("choice"), "*").unionAll(player.select(F.lit("player"), "*"))
-    return both.withColumn("AnnualWageGBP", F.round("AnnualWageGBP", 2))
+    return team.select(F.lit("team").alias("choice"), "*").unionAll(player.select(F.lit("player"), "*"))
 
 
 CAREERS = """SELECT p_name AS Player, CAST(year(l_shipdate) AS bigint) AS Season_End_Year,

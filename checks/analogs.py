@@ -35,10 +35,11 @@ TEAM_KEYS_SEEN = """SELECT DISTINCT MatchURL FROM {results} JOIN {lineitem} ON l
 ADVANCED_KEYS = """SELECT DISTINCT MatchURL FROM {results} JOIN {lineitem} ON l_orderkey = MatchKey
     WHERE l_discount >= 0.05"""
 
+# pay in pence: sums of whole numbers are exact, in whatever order they are taken
 WAGES = """SELECT c_mktsegment AS Comp, CAST(year(o_orderdate) AS bigint) AS Season,
     concat('N', CAST(c_nationkey AS string)) AS Team, c_name AS Player,
-    CASE WHEN o_orderstatus = 'P' AND c_nationkey = 3 THEN NULL ELSE o_totalprice END AS WeeklyWageGBP,
-    o_totalprice * 52 AS AnnualWageGBP
+    CASE WHEN o_orderstatus = 'P' AND c_nationkey = 3 THEN NULL ELSE round(o_totalprice * 100) END
+    AS WeeklyWageGBP, round(o_totalprice * 100) * 52 AS AnnualWageGBP
     FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 
 # one row per line item with the keys of a player row

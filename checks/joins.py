@@ -16,6 +16,7 @@ from checks.analogs import (
 )
 from checks.registry import check, load, run
 from matchloom.operators import joins as ops
+from matchloom.operators.cleaning import key_coverage, valid_matches
 from matchloom.schemas import FAMILIES
 
 KEY_SETS = {"summary": SUMMARY_KEYS, "team_summary": TEAM_KEYS_SEEN, "team_advanced": ADVANCED_KEYS}
@@ -229,11 +230,9 @@ def lineup_with_stats(spark, d):
     AND (MatchURL LIKE '%History%' OR MatchURL LIKE '%RelegationPromotion-Play-offs%' OR Notes LIKE '%Cancelled%')""",
     results=RESULTS,
 )
-def key_coverage(spark, d):
-    from matchloom.operators.cleaning import valid_matches
-
+def lost_keys(spark, d):
     results = run(spark, d, RESULTS)
-    return ops.key_coverage(results, valid_matches(results), ["Country", "Tier", "MatchURL"])
+    return key_coverage(results, valid_matches(results), ["Country", "Tier", "MatchURL"])
 
 
 @check(

@@ -140,19 +140,6 @@ def lineup_with_stats(lineup: DataFrame, summary: DataFrame, on: Sequence[str],
     return joined.select(*map(quoted, [*order, *[c for c in joined.columns if c not in order]]))
 
 
-def key_coverage(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Whole keys on one side only: ``lost`` by cleaning or ``gained`` by it."""
-    cols = list(map(quoted, keys))
-    marked = (
-        before.select(*cols, F.lit(1).alias("_before"), F.lit(0).alias("_after"))
-        .unionAll(after.select(*cols, F.lit(0).alias("_before"), F.lit(1).alias("_after")))
-        .dropna(subset=list(keys))
-    )
-    seen = marked.groupBy(*cols).agg(F.max("_before").alias("_before"), F.max("_after").alias("_after"))
-    change = F.when(F.col("_before") == 1, "lost").otherwise("gained").alias("change")
-    return seen.filter(F.col("_before") != F.col("_after")).select(*cols, change)
-
-
 def orphans(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Rows of ``a`` whose key does not occur in ``b``; rows without a key are left out."""
     return a.filter(quoted(key).isNotNull()).join(b.select(quoted(key)).distinct(), key, "left_anti")

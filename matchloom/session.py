@@ -14,8 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pages are wide rows: keep the Arrow batches handed to Python small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

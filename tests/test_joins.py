@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from matchloom.operators import joins as ops
+from matchloom.operators.cleaning import key_coverage
 from matchloom.operators.aggregates import collapse, n_unique, null_profile, null_profile_summary, wage_totals
 
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -70,7 +71,7 @@ def test_null_keys_never_match(spark):
 def test_key_coverage(spark):
     before = spark.createDataFrame([(1, 1), (2, 2), (None, 3)], "a int, b int")
     after = spark.createDataFrame([(1, 1), (4, 4)], "a int, b int")
-    assert {tuple(r) for r in ops.key_coverage(before, after, ["a", "b"]).collect()} == {
+    assert {tuple(r) for r in key_coverage(before, after, ["a", "b"]).collect()} == {
         (2, 2, "lost"),
         (4, 4, "gained"),
     }

@@ -19,7 +19,7 @@ HEADLINES = """C1_wide_team_stats J7_join_families J7_A1_collapse_families J2_wi
     J4_attach_league_by_match_id J8_lineup_with_stats A1_collapse A2_wage_totals A4_null_profile A12_load_progress
     P12_conform P14_frames_differ P16_select_stat_columns D2_first_per_key W1_forward_fill W3_dense_index
     O3_first_n_per_group U1_relaxed_union F11_event_players M1_score_intensity M3_posterior_mean M5_lineup_arrays
-    S1_read_csv_union S7_write_sorted S11_ingest_increment H2_stat_table""".split()
+    S1_read_csv_union S7_write_sorted S11_ingest_increment H1_page_links C1_extract_team_stats""".split()
 
 
 def seconds(spark, directory: str, name: str) -> float:
@@ -31,7 +31,7 @@ def seconds(spark, directory: str, name: str) -> float:
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",

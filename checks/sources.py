@@ -88,30 +88,29 @@ def with_file_keys(spark, d):
 
 @check(
     "S4_json_documents",
-    """SELECT 'lineup' AS kind, l_orderkey AS match_id, CASE WHEN l_linestatus = 'O' THEN 'home' ELSE 'away' END AS
-    side, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_partkey, l_returnflag) - 1 AS bigint)
-    AS position, l_partkey AS player_id, l_returnflag AS name FROM lineitem WHERE l_orderkey NOT IN
-    (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+    """SELECT 'lineup' AS kind, l_orderkey AS match_id, unnest(['home', 'home', 'away']) AS side,
+    CAST(unnest([0, 1, 0]) AS bigint) AS position,
+    unnest([l_partkey, l_suppkey, CAST(l_linenumber AS bigint)]) AS player_id, l_returnflag AS name FROM lineitem
+    WHERE l_linestatus = 'O'
     UNION ALL SELECT 'match', o_orderkey, NULL, NULL, o_custkey, o_orderpriority FROM orders
-    UNION ALL SELECT DISTINCT 'bad', o_orderkey, NULL, NULL, NULL, NULL FROM orders JOIN lineitem
-    ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'""",
+    UNION ALL SELECT 'bad', l_orderkey, NULL, NULL, NULL, NULL FROM lineitem WHERE l_linestatus = 'F'""",
 )
 def json_documents(spark, d):
-    """Documents stored in a table; those of one order status are cut off and so unreadable."""
+    """Documents stored in a table, one per line item; those of one status are cut off and so unreadable."""
     items, orders = load(spark, d, "lineitem"), load(spark, d, "orders")
-    player = F.struct(F.col("l_partkey").alias("player_id"), F.col("l_returnflag").alias("player_name"))
 
-    def team(number, where):
-        lineup = F.array_sort(F.collect_list(F.when(where, player)))
+    def team(number, *players):
+        lineup = F.array(
+            *[
+                F.struct(F.col(p).cast("bigint").alias("player_id"), F.col("l_returnflag").alias("player_name"))
+                for p in players
+            ]
+        )
         return F.struct(F.lit(number).alias("team_id"), F.lit(f"t{number}").alias("team_name"), lineup.alias("lineup"))
 
-    home = F.col("l_linestatus") == "O"
-    sides = items.groupBy(F.col("l_orderkey").alias("match_id")).agg(
-        F.to_json(F.array(team(1, home), team(2, ~home))).alias("value")
-    )
-    status = orders.select(F.col("o_orderkey").alias("match_id"), "o_orderstatus")
-    cut = F.when(F.col("o_orderstatus") == "P", F.substring("value", 2, 9)).otherwise(F.col("value"))
-    stored = sides.join(status, "match_id").select("match_id", cut.alias("value"))
+    text = F.to_json(F.array(team(1, "l_partkey", "l_suppkey"), team(2, "l_linenumber")))
+    cut = F.when(F.col("l_linestatus") == "F", F.substring(text, 2, 9)).otherwise(text)
+    stored = items.select(F.col("l_orderkey").alias("match_id"), cut.alias("value"))
     match = F.struct(
         F.col("o_orderkey").alias("match_id"),
         F.col("o_custkey").alias("home_score"),
@@ -127,9 +126,9 @@ def json_documents(spark, d):
         "player_id",
         F.col("player_name").alias("name"),
     )
-    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    b = found.select(F.lit("match"), "match_id", text, number, "home_score", "season.season_name")
-    return a.unionAll(b).unionAll(bad.select(F.lit("bad"), "match_id", text, number, number, text))
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    b = found.select(F.lit("match"), "match_id", none, number, "home_score", "season.season_name")
+    return a.unionAll(b).unionAll(bad.select(F.lit("bad"), "match_id", none, number, number, none))
 
 
 @check("S5_read_extract", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from matchloom.functions import cast_to, quoted
 from matchloom.operators.unions import relaxed_union
 from matchloom.schemas import family_types
+from matchloom.session import materialize
 
 SOURCE = "source_file"
 
@@ -77,18 +78,27 @@ def read_csv_union(spark: SparkSession, paths: str | Sequence[str], glob: str =
 
     Spark maps the columns of a folder by position in one header, so files are
     grouped by header and each group is read with its own. ``source_file`` holds
-    the path. Only paths and headers reach the driver.
+    the path. Where all files share a header the folder is read as it is; else
+    the paths of each header's files reach the driver, as they do in any listing.
     """
-    found = read_headers(spark, paths, glob).filter(F.col("header") != "")
-    groups = found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    if not groups:
+    found = materialize(read_headers(spark, paths, glob), "headers")
+    headers = [r["header"] for r in found.select("header").distinct().orderBy("header").collect()]
+    filled = [h for h in headers if h]
+    if not filled:
         raise FileNotFoundError(f"no files match {glob} in {paths}")
-    frames = []
-    for group in sorted(groups, key=lambda g: g["paths"][0]):
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in header_columns(group["header"])])
-        reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-        frames.append(reader.csv(group["paths"]).withColumn(SOURCE, _file_path()))
-    return relaxed_union(frames)
+
+    def read(header: str, files: str | Sequence[str], **options) -> DataFrame:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header_columns(header)])
+        reader = spark.read.schema(schema).options(header=True, escape='"', **options)
+        return reader.csv(files).withColumn(SOURCE, _file_path())
+
+    if len(headers) == 1:
+        return read(filled[0], paths, recursiveFileLookup=True, pathGlobFilter=glob)
+    groups = {
+        h: [r["path"] for r in found.filter(F.col("header") == h).select("path").orderBy("path").collect()]
+        for h in filled
+    }
+    return relaxed_union([read(h, groups[h]) for h in sorted(groups, key=groups.get)])
 
 
 def type_family(df: DataFrame, family: str) -> DataFrame:

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the wide tables make generated methods the JVM would never compile: split those
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_base: str | None = None

@@ -16,13 +16,37 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bind(value: Column, function) -> Column:
+    """``function`` of a value that is computed once, though lambdas in it name it again and again.
+
+    A plain column would be written out wherever it is named once the optimiser moves a filter below it.
+    """
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
+def _replaced(text: Column, characters: str, by: str) -> Column:
+    """Plain replacement passes over bytes; one translation by a table of characters is ten times slower."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
 def words(text: Column) -> Column:
     """The array of words ``[^\\x20\\x09-\\x0D]+``; a split at one blank needs no regular expression."""
-    return F.array_remove(F.split(F.translate(text, OTHER_SPACE, " " * len(OTHER_SPACE)), " "), "")
+    return F.array_remove(F.split(_replaced(text, OTHER_SPACE, " "), " "), "")
 
 
 def without_space(text: Column) -> Column:
-    return F.translate(text, " " + OTHER_SPACE, "")
+    return _replaced(text, " " + OTHER_SPACE, "")
+
+
+def count_of(text: Column, characters: str) -> Column:
+    """How many of these characters the text has."""
+    return F.length(text) - F.length(_replaced(text, characters, ""))
+
+
+def has_word(text: Column) -> Column:
+    return F.btrim(text, F.lit(" " + OTHER_SPACE)) != ""
 
 
 def with_row_key(docs: DataFrame, text: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import small, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import bind, small, stage, text_or_empty, with_row_key, words
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -45,10 +45,13 @@ def raw_tokens(marked_text: Column) -> Column:
 
 
 def window_hashes(tokens: Column, size: int) -> Column:
-    n = F.size(tokens)
-    return F.when(
-        n >= size, F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.xxhash64(F.slice(tokens, i, size)))
-    ).otherwise(F.array().cast("array<long>"))
+    none = F.array().cast("array<long>")
+    return bind(
+        tokens,
+        lambda w: F.when(
+            F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
+        ).otherwise(none),
+    )
 
 
 def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -65,14 +68,17 @@ def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def _consistent(item_tokens: Column, item_slots: Column, doc_tokens: Column, start: Column) -> Column:
     """Whether each slot value of the item always meets one value in the document, and each of those one in the item."""
-    pairs = F.array_distinct(
-        F.transform(
-            F.filter(item_slots, lambda i: F.get(doc_tokens, i + start).isNotNull()),
-            lambda i: F.struct(F.get(item_tokens, i).alias("a"), F.get(doc_tokens, i + start).alias("b")),
-        )
+    pairs = bind(
+        F.struct(item_tokens.alias("item"), doc_tokens.alias("doc")),
+        lambda t: F.array_distinct(
+            F.transform(
+                F.filter(item_slots, lambda i: F.get(t["doc"], i + start).isNotNull()),
+                lambda i: F.struct(F.get(t["item"], i).alias("a"), F.get(t["doc"], i + start).alias("b")),
+            )
+        ),
     )
-    one = lambda name: F.size(F.array_distinct(F.transform(pairs, lambda p: p[name])))
-    return (one("a") == F.size(pairs)) & (one("b") == F.size(pairs))
+    one = lambda p, name: F.size(F.array_distinct(F.transform(p, lambda x: x[name])))
+    return bind(pairs, lambda p: (one(p, "a") == F.size(p)) & (one(p, "b") == F.size(p)))
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import stage, text_or_empty, with_row_key, without_space, words
+from matchloom.llm.common import bind, has_word, stage, text_or_empty, with_row_key, words
 
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
@@ -38,7 +38,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
     """(kd, k1, line_no, line) of every line that has a word."""
     keyed = with_row_key(docs.select("doc_id", text_or_empty().alias("t")), F.col("t"))
     lines = keyed.select("kd", "k1", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
-    return lines.where(F.length(without_space(F.col("line"))) > 0)
+    return lines.where(has_word(F.col("line")))
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
@@ -82,16 +82,17 @@ def prefixes(classes: DataFrame, rarity: bytes) -> DataFrame:
     ranked = F.array_sort(
         F.transform(
             F.array_distinct(words(F.col("line"))),
-            lambda w: F.transform(
-                F.array(F.xxhash64(w)), lambda h: F.struct(F.substring(levels, _bucket(h) + F.lit(1), F.lit(1)).alias("level"), h.alias("h"))
-            )[0],
+            lambda w: bind(F.xxhash64(w), lambda h: F.struct(F.substring(levels, _bucket(h) + F.lit(1), F.lit(1)).alias("level"), h.alias("h"))),
         )
     )
     n = F.col("n")
     keep = (n - F.call_function("div", n * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1).cast("int")
-    ordered = classes.where(n >= NUMERATOR).select(*KEY, "n", F.transform(ranked, lambda x: x["h"].bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("r"), keep.alias("keep"))
-    pairs = F.transform(F.slice("r", F.lit(1), F.col("keep")), lambda t, i: F.struct(t.alias("token"), F.get(F.col("r"), i + 1).alias("next")))
-    return ordered.select(*KEY, "n", F.posexplode(pairs).alias("pos", "x")).select("x.token", "x.next", *KEY, "n", "pos")
+    pairs = bind(
+        F.transform(ranked, lambda x: x["h"].bitwiseAND(F.lit(2**31 - 1)).cast("int")),
+        lambda r: F.transform(F.slice(r, F.lit(1), keep), lambda t, i: F.struct(t.alias("token"), F.get(r, i + 1).alias("next"))),
+    )
+    rows = classes.where(n >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
+    return rows.select("x.token", "x.next", *KEY, "n", "pos")
 
 
 def _earlier(y: str, x: str) -> Column:
@@ -188,8 +189,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     joined = with_row_key(base, F.col("t")).join(kept, ["kd", "k1"], "left").select(
         "row", F.split("t", "\n").alias("lines"), F.coalesce("keep", F.array().cast("array<int>")).alias("keep")
     )
-    full = F.filter("lines", lambda x: F.length(without_space(x)) > 0)
-    left = F.filter("lines", lambda x, i: (F.length(without_space(x)) == 0) | F.array_contains("keep", i))
+    full = F.filter("lines", has_word)
+    left = F.filter("lines", lambda x, i: ~has_word(x) | F.array_contains("keep", i))
     return joined.select(
         "row",
         F.size(full).cast("long").alias("n_lines"),

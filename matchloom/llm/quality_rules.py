@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import text_or_empty, without_space, words
+from matchloom.llm.common import bind, count_of, has_word, text_or_empty, without_space, words
 
 SYMBOLS = "#*$%&|<>"
 # a line that says one of these is boilerplate
@@ -30,23 +30,38 @@ MAX_LINE_SHOUTS = 0.3  # exclamation and question marks to words
 MIN_SEPARATORS = 3  # of a navigation line, and a tenth of its words at least
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+LINE_SYMBOLS = "#*$%&<>"
+SHOUTS = "!?"
+SEPARATORS = "|»•·"
+
+
+def says_boilerplate(text: Column) -> Column:
+    lower = F.lower(text)
+    found = F.lit(False)
+    for phrase in BOILERPLATE:
+        found = found | F.contains(lower, F.lit(phrase))
+    return found
 
 
 def line_fails(line: Column) -> Column:
     """Whether a line breaks a punctuation, navigation or boilerplate rule; a line without a word breaks none.
 
     Punctuation: many symbols, or many exclamation and question marks, for its words. Navigation: separators
-    such as ``|`` stand between its words and it does not end as a sentence does. Boilerplate: a fixed phrase.
+    such as ``|`` stand between its words, a tenth of them at least. Boilerplate: a fixed phrase.
     """
-    blank = F.length(without_space(line)) == 0
-    n = _count(F.trim(line), " ") + 1
-    separators = _count(line, "|»•·")
-    punctuation = (_count(line, "#*$%&<>") > MAX_LINE_SYMBOLS * n) | (_count(line, "!?") > F.greatest(F.lit(3), MAX_LINE_SHOUTS * n))
+    n = count_of(F.trim(line), " ") + 1
+    separators = count_of(line, SEPARATORS)
+    punctuation = (count_of(line, LINE_SYMBOLS) > MAX_LINE_SYMBOLS * n) | (
+        count_of(line, SHOUTS) > F.greatest(F.lit(3), MAX_LINE_SHOUTS * n)
+    )
     navigation = (separators >= MIN_SEPARATORS) & (separators * 10 >= n)
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
-    return ~blank & (punctuation | navigation | boilerplate)
+    return has_word(line) & (punctuation | navigation | says_boilerplate(line))
+
+
+def may_fail(text: Column) -> Column:
+    """False only if no line of the text can fail."""
+    marks = (count_of(text, LINE_SYMBOLS) > 0) | (count_of(text, SHOUTS) > 3) | (count_of(text, SEPARATORS) >= MIN_SEPARATORS)
+    return marks | says_boilerplate(text)
 
 
 def _line_words(lines: Column) -> Column:
@@ -73,21 +88,16 @@ def repeated_window_words(windows: str) -> Column:
             )
         )
 
-    # binding a value by a one-element array: it is computed once, however often it is named
-    bound = F.get(F.transform(F.array(at), starts), F.lit(0))
-    covered = F.get(
-        F.transform(
-            F.array(bound),
-            lambda s: F.aggregate(
-                s,
-                F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
-                lambda a, x: F.struct(
-                    (x + WINDOW).alias("end"), (a["n"] + WINDOW - F.greatest(F.lit(0), a["end"] - x)).alias("n")
-                ),
-                lambda a: a["n"],
+    covered = bind(
+        bind(at, starts),
+        lambda s: F.aggregate(
+            s,
+            F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
+            lambda a, x: F.struct(
+                (x + WINDOW).alias("end"), (a["n"] + WINDOW - F.greatest(F.lit(0), a["end"] - x)).alias("n")
             ),
+            lambda a: a["n"],
         ),
-        F.lit(0),
     )
     several = F.size(F.array_distinct(F.col(windows))) < F.size(F.col(windows))
     return F.when(several, covered).otherwise(F.lit(0)).cast("long")
@@ -107,23 +117,27 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     first = docs.select(F.struct("*").alias("row"), text.alias("t"))
     split = first.select("row", "t", F.split("t", "\n").alias("lines"), words(F.col("t")).alias("w"))
     n = F.size("w")
-    hashes = F.when(
-        n >= WINDOW, F.transform(F.sequence(F.lit(1), n - WINDOW + 1), lambda i: F.xxhash64(F.slice("w", i, WINDOW)))
-    ).otherwise(F.array().cast("array<long>"))
+    hashes = bind(
+        F.col("w"),
+        lambda w: F.when(
+            F.size(w) >= WINDOW,
+            F.transform(F.sequence(F.lit(1), F.size(w) - WINDOW + 1), lambda i: F.xxhash64(F.slice(w, i, WINDOW))),
+        ).otherwise(F.array().cast("array<long>")),
+    )
     judged = split.select(
         "row",
         "t",
         n.cast("long").alias("n_words"),
         hashes.alias("windows"),
-        F.filter("lines", lambda x: F.length(without_space(x)) > 0).alias("full"),
-        F.filter("lines", lambda x: ~line_fails(x)).alias("good"),
+        F.filter("lines", has_word).alias("full"),
+        F.when(may_fail(F.col("t")), F.filter("lines", lambda x: ~line_fails(x))).otherwise(F.col("lines")).alias("good"),
         F.size("lines").alias("n_lines"),
     )
     counted = judged.select(
         "row",
         "n_words",
         F.length(without_space(F.col("t"))).cast("long").alias("word_chars"),
-        _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
+        count_of(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         repeated_window_words("windows").alias("n_repeat_words"),
         (F.col("n_lines") - F.size("good")).cast("long").alias("n_removed_lines"),

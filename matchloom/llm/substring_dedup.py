@@ -193,7 +193,8 @@ def _repeats_in_groups(contexts: DataFrame) -> DataFrame:
 def _repeats_of_long_prefixes(contexts: DataFrame) -> DataFrame:
     """The same for anchors with very many places: a suffix's group is named by a digest of all its words.
 
-    Such a group is a single deep node, so it need only be counted, which combines before the shuffle.
+    Such a group is a single deep node, so it need only be counted, which combines before the shuffle. Places
+    whose whole text occurs again are repeats by that alone; only one of each such text is cut into suffixes.
     """
     import pyarrow as pa
 
@@ -202,17 +203,30 @@ def _repeats_of_long_prefixes(contexts: DataFrame) -> DataFrame:
 
         for b in batches:
             rows = [
-                (blake2b(s, digest_size=16).digest(), kd, k1, first + i)
-                for kd, k1, first, n, words in zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
+                (blake2b(s, digest_size=16).digest(), alone, kd, k1, first + i)
+                for alone, kd, k1, first, n, words in zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True)
                 for i, s in enumerate(suffixes(words, n))
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["digest", "kd", "k1", "lo"])
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            types = (pa.binary(), pa.bool_(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["digest", "alone", "kd", "k1", "lo"]
+            )
 
-    single = contexts.select("kd", "k1", "first", "n", "words").mapInArrow(run, "digest binary, kd long, k1 long, lo int")
+    named = contexts.withColumn("text", F.md5("words"))
+    texts = stage(
+        named.groupBy("text").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("kd", "k1", "first", "n", "words")).alias("p")),
+        "repeat-texts",
+    )
+    copied = named.join(texts.where("times > 1").select("text"), "text").select(
+        "kd", "k1", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1).alias("hi")
+    )
+    single = texts.select((F.col("times") == 1).alias("alone"), "p.*").mapInArrow(
+        run, "digest binary, alone boolean, kd long, k1 long, lo int"
+    )
     deep = single.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    return single.join(deep, "digest").select("kd", "k1", "lo", F.col("lo").alias("hi"))
+    shared = single.where("alone").join(deep, "digest").select("kd", "k1", "lo", F.col("lo").alias("hi"))
+    return copied.unionAll(shared)
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def pieces_of(batches, column: int, most: int = 2_000_000) -> Iterator:
 
 
 # tables of at most this many rows of a few numbers are broadcast; larger ones are joined by shuffling
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

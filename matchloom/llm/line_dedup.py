@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import bind, has_word, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import bind, has_word, small, stage, text_or_empty, with_row_key, words
 
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
@@ -17,8 +17,8 @@ def _bucket(token: Column) -> Column:
     return token.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")
 
 
-def token_rarity(lines: DataFrame) -> bytes:
-    """A byte per bucket that grows with how often the tokens of the bucket occur in all lines.
+def token_rarity(lines: DataFrame) -> list[int]:
+    """A level from 0 to 127 per bucket that grows with how often the tokens of the bucket occur in all lines.
 
     Its size is fixed, whatever the data.
     """
@@ -26,12 +26,12 @@ def token_rarity(lines: DataFrame) -> bytes:
         lines.select(F.explode(words(F.col("line"))).alias("w"))
         .select(_bucket(F.xxhash64("w")).alias("b"))
         .groupBy("b")
-        .agg(F.least(F.lit(255), F.floor(6 * F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("level"))
+        .agg(F.least(F.lit(127), F.floor(3 * F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("level"))
     )
-    levels = bytearray(RARITY_BUCKETS)
+    levels = [0] * RARITY_BUCKETS
     for b, level in seen.collect():  # RARITY_BUCKETS rows at most
         levels[b] = level
-    return bytes(levels)
+    return levels
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def line_classes(lines: DataFrame) -> DataFrame:
     ``parity`` has bit i set if an odd number of the set's hashes end in i, so sets that differ in few words
     differ in few bits.
     """
-    tokens = F.array_sort(F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w)))
+    tokens = F.sort_array(F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w)))
     hashed = lines.select("kd", "line_no", "k1", "line", tokens.alias("s"))
     named = hashed.select(
         "kd",
@@ -72,24 +72,30 @@ def _least_overlap(n: Column, m: Column) -> Column:
     return F.call_function("div", NUMERATOR * (n + m) + (NUMERATOR + DENOMINATOR - 1), F.lit(NUMERATOR + DENOMINATOR))
 
 
-def prefixes(classes: DataFrame, rarity: bytes) -> DataFrame:
+def prefixes(classes: DataFrame, rarity: list[int]) -> DataFrame:
     """The rarest tokens of every class: sets that are similar enough share one of them.
 
     ``next`` is the token that follows in the order. Sets of fewer than four words have no similar set but
     themselves.
     """
-    levels = F.lit(bytearray(rarity))
-    ranked = F.array_sort(
+    # folded to one array literal before the query runs
+    levels = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<long>")
+    # level and hash in one number, so that the order is that of numbers
+    ordered = F.sort_array(
         F.transform(
             F.array_distinct(words(F.col("line"))),
-            lambda w: bind(F.xxhash64(w), lambda h: F.struct(F.substring(levels, _bucket(h) + F.lit(1), F.lit(1)).alias("level"), h.alias("h"))),
+            lambda w: bind(
+                F.xxhash64(w),
+                lambda h: F.shiftleft(F.element_at(levels, _bucket(h) + F.lit(1)), 56).bitwiseOR(F.shiftrightunsigned(h, 8)),
+            ),
         )
     )
     n = F.col("n")
     keep = (n - F.call_function("div", n * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1).cast("int")
+    token = lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int")
     pairs = bind(
-        F.transform(ranked, lambda x: x["h"].bitwiseAND(F.lit(2**31 - 1)).cast("int")),
-        lambda r: F.transform(F.slice(r, F.lit(1), keep), lambda t, i: F.struct(t.alias("token"), F.get(r, i + 1).alias("next"))),
+        F.slice(ordered, F.lit(1), keep + 1),
+        lambda r: F.transform(F.slice(r, F.lit(1), keep), lambda t, i: F.struct(token(t).alias("token"), token(F.get(r, i + 1)).alias("next"))),
     )
     rows = classes.where(n >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
     return rows.select("x.token", "x.next", *KEY, "n", "pos")
@@ -121,9 +127,18 @@ def _keys_of_pair() -> list[Column]:
 
 
 def _list_pairs(ys: DataFrame, xs: DataFrame) -> DataFrame:
-    """Pairs of a row y and an earlier row x of one posting list that pass the filters."""
+    """Pairs of a row y and an earlier row x of one posting list that pass the filters, and how they differ."""
     joined = ys.alias("y").join(xs.alias("x"), (F.col("y.token") == F.col("x.token")) & _earlier("y", "x") & _may_be_similar("y", "x"))
-    return joined.select(*_keys_of_pair())
+    return joined.select(*_keys_of_pair(), _difference("y", "x"))
+
+
+def _difference(y: str, x: str) -> Column:
+    """Differing parity bits for the words of both."""
+    bits = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    return (bits / (F.col(f"{x}.n") + F.col(f"{y}.n"))).alias("difference")
+
+
+_PAIR = [f"{side}_{c}" for side in "yx" for c in KEY]
 
 
 def candidate_pairs(posted: DataFrame) -> DataFrame:
@@ -137,24 +152,27 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     same = Window.partitionBy("token", "next").orderBy(*KEY)
     headed = posted.select("token", F.struct(*_ROW).alias("y"), F.first(F.struct(*_ROW)).over(same).alias("x"))
     like_head = _earlier("y", "x") & _may_be_similar("y", "x")
-    to_head = headed.where(like_head).select(*_keys_of_pair(), F.lit(True).alias("head"))
+    to_head = headed.where(like_head).select(*_keys_of_pair(), _difference("y", "x"), F.lit(True).alias("head"))
     others = headed.where(~like_head).select("token", "y.*")
     rest = _list_pairs(others, posted.select("token", *_ROW)).withColumn("head", F.lit(False))
-    pair = [f"{side}_{c}" for side in "yx" for c in KEY]
-    return to_head.unionAll(rest).groupBy(*pair).agg(F.max("head").alias("head"))
+    return to_head.unionAll(rest).groupBy(*_PAIR).agg(F.max("head").alias("head"), F.min("difference").alias("difference"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The later class of each pair: its key, (c1, c2) and whether the word sets are ``similar`` enough."""
-    side = lambda s: classes.select(
-        *[F.col(c).alias(f"{s}_{c}") for c in KEY], F.col("c1").alias(f"{s}_c1"), F.col("c2").alias(f"{s}_c2"), F.col("line").alias(f"{s}_line")
-    )
+def _verified(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+    """The keys of the later classes of staged pairs whose word sets are similar enough, with (c1, c2); staged.
+
+    Only the lines of the pairs' classes are joined.
+    """
+    keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
+    wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
+    lines = stage(classes.select(*KEY, "c1", "c2", "line").join(wanted, list(KEY), "left_semi"), label + "-lines")
+    side = lambda s: lines.select(*[F.col(c).alias(f"{s}_{c}") for c in (*KEY, "c1", "c2", "line")])
     both = pairs.join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
     names = [F.col(f"y_{c}").alias(c) for c in (*KEY, "c1", "c2")]
     sets = both.select(*names, F.array_distinct(words(F.col("y_line"))).alias("a"), F.array_distinct(words(F.col("x_line"))).alias("b"))
-    sized = sets.select(*KEY, "c1", "c2", F.size(F.array_intersect("a", "b")).alias("i"), F.size("a").alias("na"), F.size("b").alias("nb"))
-    similar = F.col("i") * DENOMINATOR >= (F.col("na") + F.col("nb") - F.col("i")) * NUMERATOR
-    return sized.groupBy("c1", "c2", *KEY).agg(F.max(similar).alias("similar"))
+    shared = sets.select(*KEY, "c1", "c2", F.size(F.array_intersect("a", "b")).alias("i"), (F.size("a") + F.size("b")).alias("n"))
+    similar = shared.where(F.col("i") * DENOMINATOR >= (F.col("n") - F.col("i")) * NUMERATOR)
+    return stage(similar.select(*KEY, "c1", "c2").distinct(), label)
 
 
 def kept_first_lines(docs: DataFrame) -> DataFrame:
@@ -164,14 +182,22 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     classes = stage(line_classes(lines), "line-classes")
     posted = prefixes(classes, rarity)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    judged = stage(_verified(pairs.drop("head"), classes), "line-judged")
-    # rows that were paired with a head only, in vain
-    pair_y = [F.col(f"y_{c}").alias(c) for c in KEY]
-    again = stage(pairs.where("head").select(*pair_y).distinct().join(judged.where("similar"), list(KEY), "left_anti"), "line-again")
-    gone = judged.where("similar").select("c1", "c2")
+    y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
+    # the likeliest pair of each class first, then the other pairs of those that it did not settle
+    likeliest = F.min_by(F.struct(*[c for c in _PAIR if c[0] == "x"]), F.struct("difference", *[c for c in _PAIR if c[0] == "x"])).alias("x")
+    first = stage(pairs.groupBy(*[c for c in _PAIR if c[0] == "y"]).agg(likeliest).select(*[c for c in _PAIR if c[0] == "y"], "x.*"), "line-first")
+    gone = _verified(first, classes, "line-settled")
+    settled = small(gone.select(*[F.col(c).alias(f"y_{c}") for c in KEY]))
+    others = stage(pairs.join(settled, [c for c in _PAIR if c[0] == "y"], "left_anti"), "line-others")
+    more = _verified(others.join(first, _PAIR, "left_anti"), classes, "line-settled-more")
+    gone = gone.unionAll(more)
+    # classes that were paired with heads in vain: the rest of their lists
+    again = stage(others.where("head").select(*y_keys).distinct().join(more, list(KEY), "left_anti"), "line-again")
     if again.take(1):
-        more = _list_pairs(posted.join(again, list(KEY), "left_semi"), posted).distinct()
-        gone = gone.unionAll(_verified(more, classes).where("similar").select("c1", "c2")).distinct()
+        rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
+        rest = stage(_list_pairs(rows, posted).select(*_PAIR).distinct(), "line-again-pairs")
+        gone = gone.unionAll(_verified(rest, classes, "line-settled-last"))
+    gone = gone.select("c1", "c2").distinct()
     return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")
 
 
@@ -184,7 +210,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     are ordered by the parity of their words' hashes. A null text is empty. Gives one row per input row: ``row`` (a struct of all
     columns, so that none can clash), ``n_lines`` and ``n_removed`` (lines with a word), ``kept_text``.
     """
-    kept = kept_first_lines(docs).groupBy("kd", "k1").agg(F.sort_array(F.collect_set("line_no")).alias("keep"))
+    kept = kept_first_lines(docs).groupBy("kd", "k1").agg(F.collect_set("line_no").alias("keep"))
     base = docs.select(F.struct("*").alias("row"), "doc_id", text_or_empty().alias("t"))
     joined = with_row_key(base, F.col("t")).join(kept, ["kd", "k1"], "left").select(
         "row", F.split("t", "\n").alias("lines"), F.coalesce("keep", F.array().cast("array<int>")).alias("keep")

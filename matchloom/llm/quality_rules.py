@@ -70,11 +70,11 @@ def _line_words(lines: Column) -> Column:
 
 def repeated_window_words(windows: str) -> Column:
     """Words covered by windows (an array of their hashes, by start) that occur twice or more."""
-    at = F.array_sort(F.transform(F.col(windows), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    at = F.sort_array(F.transform(F.col(windows), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def starts(sorted_windows: Column) -> Column:
         n = F.size(sorted_windows)
-        return F.array_sort(
+        return F.sort_array(
             F.filter(
                 F.transform(
                     sorted_windows,

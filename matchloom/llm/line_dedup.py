@@ -11,6 +11,8 @@ from matchloom.llm.common import bind, has_word, small, stage, text_or_empty, wi
 NUMERATOR, DENOMINATOR = 4, 5
 # tokens are ordered by the count of their bucket; any order gives the same result, a better one is quicker
 RARITY_BUCKETS = 1 << 16
+# bits of the parity that candidate pairs are compared by before their lines are
+WIDE = 512
 
 
 def _bucket(token: Column) -> Column:
@@ -101,44 +103,37 @@ def prefixes(classes: DataFrame, rarity: list[int]) -> DataFrame:
     return rows.select("x.token", "x.next", *KEY, "n", "pos")
 
 
+KEY = ("kd", "line_no", "parity")
+_ROW = (*KEY, "n", "pos")
+_PAIR = [f"{side}_{c}" for side in "yx" for c in KEY]
+
+
+def _named(side: str, names=_ROW) -> list[Column]:
+    return [F.col(c).alias(f"{side}_{c}") for c in names]
+
+
 def _earlier(y: str, x: str) -> Column:
-    return F.struct(*[F.col(f"{x}.{c}") for c in KEY]) < F.struct(*[F.col(f"{y}.{c}") for c in KEY])
+    kd, line, parity = [(F.col(f"{x}_{c}"), F.col(f"{y}_{c}")) for c in KEY]
+    return (kd[0] < kd[1]) | ((kd[0] == kd[1]) & ((line[0] < line[1]) | ((line[0] == line[1]) & (parity[0] < parity[1]))))
 
 
 def _may_be_similar(y: str, x: str) -> Column:
-    """Length, positional and parity filters for two rows of one token's posting list."""
-    c = lambda side, name: F.col(f"{side}.{name}")
+    """Length, parity and positional filters for two rows of one token's posting list."""
+    c = lambda side, name: F.col(f"{side}_{name}")
     ny, nx = c(y, "n"), c(x, "n")
     shared = _least_overlap(ny, nx)
     return (
         (nx * DENOMINATOR >= ny * NUMERATOR)
         & (ny * DENOMINATOR >= nx * NUMERATOR)
-        & (F.least(ny - c(y, "pos"), nx - c(x, "pos")) + F.least(c(y, "pos"), c(x, "pos")) >= shared)
         & (F.bit_count(c(x, "parity").bitwiseXOR(c(y, "parity"))) <= nx + ny - 2 * shared)
+        & (F.least(ny - c(y, "pos"), nx - c(x, "pos")) + F.least(c(y, "pos"), c(x, "pos")) >= shared)
     )
 
 
-KEY = ("kd", "line_no", "parity")
-_ROW = (*KEY, "n", "pos")
-
-
-def _keys_of_pair() -> list[Column]:
-    return [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "yx" for c in KEY]
-
-
 def _list_pairs(ys: DataFrame, xs: DataFrame) -> DataFrame:
-    """Pairs of a row y and an earlier row x of one posting list that pass the filters, and how they differ."""
-    joined = ys.alias("y").join(xs.alias("x"), (F.col("y.token") == F.col("x.token")) & _earlier("y", "x") & _may_be_similar("y", "x"))
-    return joined.select(*_keys_of_pair(), _difference("y", "x"))
-
-
-def _difference(y: str, x: str) -> Column:
-    """Differing parity bits for the words of both."""
-    bits = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
-    return (bits / (F.col(f"{x}.n") + F.col(f"{y}.n"))).alias("difference")
-
-
-_PAIR = [f"{side}_{c}" for side in "yx" for c in KEY]
+    """Pairs of a row y and an earlier row x of one posting list that pass the filters."""
+    y, x = ys.select(F.col("token").alias("y_token"), *_named("y")), xs.select(F.col("token").alias("x_token"), *_named("x"))
+    return y.join(x, (F.col("y_token") == F.col("x_token")) & _may_be_similar("y", "x") & _earlier("y", "x")).select(*_PAIR)
 
 
 def candidate_pairs(posted: DataFrame) -> DataFrame:
@@ -150,24 +145,53 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     pairs fail the verification meet their lists again later.
     """
     same = Window.partitionBy("token", "next").orderBy(*KEY)
-    headed = posted.select("token", F.struct(*_ROW).alias("y"), F.first(F.struct(*_ROW)).over(same).alias("x"))
-    like_head = _earlier("y", "x") & _may_be_similar("y", "x")
-    to_head = headed.where(like_head).select(*_keys_of_pair(), _difference("y", "x"), F.lit(True).alias("head"))
-    others = headed.where(~like_head).select("token", "y.*")
-    rest = _list_pairs(others, posted.select("token", *_ROW)).withColumn("head", F.lit(False))
-    return to_head.unionAll(rest).groupBy(*_PAIR).agg(F.max("head").alias("head"), F.min("difference").alias("difference"))
-
+    firsts = [F.first(c).over(same).alias(f"h_{c}") for c in _ROW]
+    headed = posted.select(F.col("token").alias("y_token"), *_named("y"), *firsts)
+    headed = headed.withColumn("head", _may_be_similar("y", "h") & _earlier("y", "h"))
+    # the same columns on both sides, so that both read one shuffle
+    xs = posted.select(F.col("token").alias("x_token"), F.col("next").alias("x_next"), *_named("x"))
+    met = (F.col("y_token") == F.col("x_token")) & ~F.col("head") & _may_be_similar("y", "x") & _earlier("y", "x")
+    joined = headed.join(xs, met, "left").where("head or x_token is not null")
+    other = [F.when(F.col("head"), F.col(f"h_{c}")).otherwise(F.col(f"x_{c}")).alias(f"x_{c}") for c in KEY]
+    pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next")
+    return pairs.groupBy(*_PAIR).agg(F.max("head").alias("head"), F.max("x_next").alias("x_next"))
+
+
+def _wide_parity(hashes: Column) -> Column:
+    """The parity of WIDE bits as an array of longs."""
+    return F.array(
+        *[
+            F.aggregate(
+                F.filter(hashes, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(WIDE // 64 - 1)) == k),  # noqa: B023
+                F.lit(0).cast("long"),
+                lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))),
+            )
+            for k in range(WIDE // 64)
+        ]
+    )
 
-def _verified(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """The keys of the later classes of staged pairs whose word sets are similar enough, with (c1, c2); staged.
 
-    Only the lines of the pairs' classes are joined.
-    """
+def _near_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Staged pairs whose wide parities are near enough, and the staged classes that they are of."""
     keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
     wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
-    lines = stage(classes.select(*KEY, "c1", "c2", "line").join(wanted, list(KEY), "left_semi"), label + "-lines")
-    side = lambda s: lines.select(*[F.col(c).alias(f"{s}_{c}") for c in (*KEY, "c1", "c2", "line")])
+    hashes = F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w))
+    found = classes.join(wanted, list(KEY), "left_semi")
+    lines = stage(found.select(*KEY, "n", "c1", "c2", "line", bind(hashes, _wide_parity).alias("wide")), label + "-lines")
+    side = lambda s: lines.select(*_named(s, (*KEY, "n", "wide")))
     both = pairs.join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
+    bits = sum(
+        (F.bit_count(F.col("y_wide")[k].bitwiseXOR(F.col("x_wide")[k])) for k in range(WIDE // 64)), F.lit(0)
+    )
+    bound = F.col("y_n") + F.col("x_n") - 2 * _least_overlap(F.col("y_n"), F.col("x_n"))
+    near = both.withColumn("bits", bits).where(F.col("bits") <= bound)
+    return stage(near.select(*pairs.columns, (F.col("bits") / (F.col("y_n") + F.col("x_n"))).alias("difference")), label), lines
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
+    """The keys of the later classes of pairs whose word sets are similar enough, with (c1, c2); staged."""
+    side = lambda s: lines.select(*_named(s, (*KEY, "c1", "c2", "line")))
+    both = pairs.select(*_PAIR).join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
     names = [F.col(f"y_{c}").alias(c) for c in (*KEY, "c1", "c2")]
     sets = both.select(*names, F.array_distinct(words(F.col("y_line"))).alias("a"), F.array_distinct(words(F.col("x_line"))).alias("b"))
     shared = sets.select(*KEY, "c1", "c2", F.size(F.array_intersect("a", "b")).alias("i"), (F.size("a") + F.size("b")).alias("n"))
@@ -182,21 +206,21 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     classes = stage(line_classes(lines), "line-classes")
     posted = prefixes(classes, rarity)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
+    near, own = _near_pairs(pairs, classes, "line-near")
     # the likeliest pair of each class first, then the other pairs of those that it did not settle
-    likeliest = F.min_by(F.struct(*[c for c in _PAIR if c[0] == "x"]), F.struct("difference", *[c for c in _PAIR if c[0] == "x"])).alias("x")
-    first = stage(pairs.groupBy(*[c for c in _PAIR if c[0] == "y"]).agg(likeliest).select(*[c for c in _PAIR if c[0] == "y"], "x.*"), "line-first")
-    gone = _verified(first, classes, "line-settled")
-    settled = small(gone.select(*[F.col(c).alias(f"y_{c}") for c in KEY]))
-    others = stage(pairs.join(settled, [c for c in _PAIR if c[0] == "y"], "left_anti"), "line-others")
-    more = _verified(others.join(first, _PAIR, "left_anti"), classes, "line-settled-more")
-    gone = gone.unionAll(more)
+    y_names, x_names = _PAIR[:3], _PAIR[3:]
+    likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
+    first = stage(near.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
+    gone = _verified(first, own, "line-settled")
+    others = near.join(gone.select(*_named("y", KEY)), y_names, "left_anti").join(first, _PAIR, "left_anti")
+    gone = gone.unionAll(_verified(others, own, "line-settled-more"))
     # classes that were paired with heads in vain: the rest of their lists
-    again = stage(others.where("head").select(*y_keys).distinct().join(more, list(KEY), "left_anti"), "line-again")
+    y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
+    again = stage(pairs.where("head").select(*y_keys).distinct().join(gone, list(KEY), "left_anti"), "line-again")
     if again.take(1):
         rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
-        rest = stage(_list_pairs(rows, posted).select(*_PAIR).distinct(), "line-again-pairs")
-        gone = gone.unionAll(_verified(rest, classes, "line-settled-last"))
+        rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
+        gone = gone.unionAll(_verified(*_near_pairs(rest, classes, "line-near-again"), "line-settled-last"))
     gone = gone.select("c1", "c2").distinct()
     return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")
 

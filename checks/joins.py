@@ -166,19 +166,17 @@ def full_join(keys, families=FAMILIES) -> str:
 
 
 FAMILY_TABLES = {"items": ITEMS, **{f: family_sql(f, "duckdb") for f in FAMILIES}}
-THREE = FAMILIES[:3]
 ALL_STATS = [c for f in FAMILIES for c in own_stats()[f]]
 
 
 @check(
     "J7_join_families",
-    f"""SELECT {", ".join(SHORT_KEYS)}, {", ".join(f'"{c}"' for f in THREE for c in own_stats()[f])}
-    FROM {full_join(SHORT_KEYS, THREE)}""",
+    f"""SELECT {", ".join(SHORT_KEYS)}, {", ".join(f'"{c}"' for f in FAMILIES for c in own_stats()[f])}
+    FROM {full_join(SHORT_KEYS)}""",
     **FAMILY_TABLES,
 )
 def join_families(spark, d):
-    frames = short_families(spark, d)
-    return ops.join_families({f: frames[f] for f in THREE}, SHORT_KEYS)
+    return ops.join_families(short_families(spark, d), SHORT_KEYS)
 
 
 @check(

@@ -134,7 +134,9 @@ def conform(df: DataFrame, fields: Sequence[Field]) -> tuple[DataFrame, DataFram
             bad = raw.isNotNull() & value.isNull()
         elif isinstance(f.type, T.LongType):
             number = to_double(raw)
-            value = float_to_int(raw)
+            # whole numbers beyond 2^53 must not pass through double
+            exact = raw.cast("decimal(38,0)") if isinstance(source[f.name], T.DecimalType) else raw
+            value = F.coalesce(exact.try_cast("bigint"), float_to_int(raw))
             blank = raw.isNull() | F.isnan(raw.try_cast("double"))
             bad = ~F.coalesce(blank, F.lit(False)) & (value.isNull() | (number != F.floor(number)))
         elif isinstance(f.type, T.DoubleType):

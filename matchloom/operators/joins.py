@@ -145,19 +145,17 @@ def orphans(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.filter(quoted(key).isNotNull()).join(b.select(quoted(key)).distinct(), key, "left_anti")
 
 
-def completeness_grid(df: DataFrame, dims: Sequence[str], max_values: int = 10_000) -> DataFrame:
+def completeness_grid(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     """All combinations of the values of each dimension, and whether they occur.
 
     The first dimension stays distributed; the values of the others are exploded
-    onto it one by one. These must be short lists, as the grid is their product.
+    onto it one by one, as arrays that the executors compute. The grid is their
+    product, so the other dimensions should be short (leagues, tiers, seasons).
     """
     grid = df.select(quoted(dims[0])).filter(quoted(dims[0]).isNotNull()).distinct()
     for d in dims[1:]:
-        found = df.select(quoted(d)).filter(quoted(d).isNotNull()).distinct().limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{d} has over {max_values} values; raise max_values to build the grid")
-        kind = df.schema[d].dataType
-        grid = grid.withColumn(d, F.explode(F.array(*[F.lit(r[0]).cast(kind) for r in found])))
+        found = df.agg(F.collect_set(quoted(d)).alias("found"))
+        grid = grid.withColumn("_found", found.scalar()).withColumn(d, F.explode("_found")).drop("_found")
     seen = df.select(*map(quoted, dims)).distinct().withColumn("present", F.lit(True))
     return grid.join(seen, list(dims), "left").withColumn("present", F.coalesce("present", F.lit(False)))
 

@@ -5,10 +5,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchloom.operators import cleaning as ops
 from matchloom.operators.unions import MatchBundle, relaxed_union, union_bundles
-from matchloom.schemas import DEFENSE_ALIASES, declare
+from matchloom.schemas import DEFENSE_ALIASES, Field, declare
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -101,3 +102,10 @@ def test_bundles(spark):
     assert both.summary.count() == 2 and both.lineups.count() == 3 and both.shooting is None
     assert both.team["misc"].count() == 5 and both.player["misc"].count() == 5
     assert union_bundles([None]).summary is None
+
+
+def test_conform_keeps_long_numbers_exact(spark):
+    fields = [Field("n", T.LongType()), Field("s", T.LongType())]
+    df = spark.sql("SELECT 9007199254740993L AS n, '9007199254740993' AS s")
+    good, bad = ops.conform(df, fields)
+    assert [tuple(r) for r in good.collect()] == [(9007199254740993, 9007199254740993)] and bad.count() == 0

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,29 @@ def test_increments_append_once(spark, folder, tmp_path):
     assert [r.Extra for r in rows.filter("batch = 2").collect()] == ["1"]
 
 
+def test_late_files_are_appended(spark, folder, tmp_path):
+    base, state = str(tmp_path / "base"), str(tmp_path / "state")
+    ingest_increment(spark, folder, base, state)
+    write(folder, "summary/old.csv", "Player,Extra\nDi,1\n")
+    old = time.time() - 400 * 86_400
+    os.utime(os.path.join(folder, "summary/old.csv"), (old, old))
+    ingest_increment(spark, folder, base, state)
+    assert read_increments(spark, base).filter("Extra = '1'").count() == 1
+
+
+def test_upsert_keeps_columns_keys_and_other_leagues(spark):
+    path = work_folder(spark, "upsert")
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, Country string, Gender string, Tier string")
+    tables.upsert(spark, path, rows((1, "ENG", "M", "0102")).withColumn("extra", F.lit(99)), "ENG", "M", "0102")
+    tables.upsert(spark, path, rows((3, "GER", "M", "0102")), "GER", "M", "0102")
+    refused = tables.upsert(spark, path, rows((2, None, "M", "0102"), (4, "GER", "M", "0102")), "ENG", "M", "0102")
+    assert [r.id for r in refused.collect()] == [4]
+    back = tables.read_partitioned(spark, path)
+    found = sorted((r.id, r.extra, r.Country, r.Tier) for r in back.collect())
+    assert found == [(1, 99, "ENG", "0102"), (2, None, "ENG", "0102"), (3, None, "GER", "0102")]
+    assert tables.read_partitioned(spark, path + "-none") is None
+
+
 def test_sorted_files_are_in_order_though_one_value_is_hot(spark):
     path = work_folder(spark, "sorted")
     df = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 10).alias("k"), "id")

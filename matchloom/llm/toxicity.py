@@ -20,6 +20,8 @@ PER_CLASS = 4_000
 MIN_DOCUMENTS = 8
 EPOCHS = 8
 BATCH = 128
+#: A small sample is gone over more often, until there were so many steps.
+MIN_STEPS = 300
 RATE = 0.5
 # averages over thousands of subwords are small; the softmax sees them enlarged
 GAIN = 50.0
@@ -111,8 +113,9 @@ def fit(sample: list[tuple[str, int]], share: float, seed: int = 3) -> ToxicityM
     w = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     b = np.zeros(2, dtype=np.float32)
     e2, w2, b2 = np.full(e.shape, 1e-6, np.float32), np.full(w.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)
-    for epoch in range(EPOCHS):
-        order, rate = rng.permutation(len(y)), RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, MIN_STEPS * BATCH // len(y))
+    for epoch in range(epochs):
+        order, rate = rng.permutation(len(y)), RATE * (1 - epoch / epochs)
         for lo in range(0, len(y), BATCH):
             docs = order[lo : lo + BATCH]
             docs = docs[starts[docs + 1] > starts[docs]]

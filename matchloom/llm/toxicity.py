@@ -83,19 +83,27 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     import pyarrow as pa
 
     ids, shares, sizes = [], [], []
-    for batch in pieces_of([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])], 0):
+    # small pieces: the arrays of a piece are many times its size
+    for batch in pieces_of([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])], 0, 500_000):
         buckets, owner = subwords(batch.column(0))
-        key, count = np.unique(owner * BUCKETS + buckets, return_counts=True)
-        own, bucket = key // BUCKETS, key % BUCKETS
         whole = np.bincount(owner, minlength=batch.num_rows)
-        ids.append(bucket.astype(np.int32))
+        key, count = np.unique(owner * BUCKETS + buckets, return_counts=True)
+        own = key // BUCKETS
+        ids.append((key % BUCKETS).astype(np.int32))
         shares.append((count / whole[own]).astype(np.float32))
         sizes.append(np.bincount(own, minlength=batch.num_rows))
-    bucket, share, size = np.concatenate(ids), np.concatenate(shares), np.concatenate(sizes)
-    often = (np.bincount(bucket, minlength=BUCKETS) >= min(MIN_DOCUMENTS, len(texts) // 20))[bucket]
-    own = np.repeat(np.arange(len(size)), size)[often]
-    starts = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(size)))))
-    return bucket[often], share[often], starts
+    documents = np.zeros(BUCKETS, dtype=np.int64)
+    for part in ids:
+        documents += np.bincount(part, minlength=BUCKETS)
+    often = documents >= min(MIN_DOCUMENTS, len(texts) // 20)
+    left = []
+    for k, (part, lengths) in enumerate(zip(ids, sizes, strict=True)):
+        keep = often[part]
+        own = np.repeat(np.arange(len(lengths)), lengths)[keep]
+        left.append(np.bincount(own, minlength=len(lengths)))
+        ids[k], shares[k] = part[keep], shares[k][keep]
+    starts = np.concatenate(([0], np.cumsum(np.concatenate(left))))
+    return np.concatenate(ids), np.concatenate(shares), starts
 
 
 def fit(sample: list[tuple[str, int]], share: float, seed: int = 3) -> ToxicityModel:

@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import bind, has_word, small, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import has_word, small, stage, text_or_empty, with_row_key, words
 
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
 # tokens are ordered by the count of their bucket; any order gives the same result, a better one is quicker
-RARITY_BUCKETS = 1 << 16
+RARITY_BUCKETS = 1 << 17
 # bits of the parity that candidate pairs are compared by before their lines are
 WIDE = 512
 
 
 def _bucket(token: Column) -> Column:
-    return token.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")
+    return token.bitwiseAND(F.lit(RARITY_BUCKETS - 1))
 
 
-def token_rarity(lines: DataFrame) -> list[int]:
+def token_rarity(sets: DataFrame) -> list[int]:
     """A level from 0 to 127 per bucket that grows with how often the tokens of the bucket occur in all lines.
 
     Its size is fixed, whatever the data.
     """
     seen = (
-        lines.select(F.explode(words(F.col("line"))).alias("w"))
-        .select(_bucket(F.xxhash64("w")).alias("b"))
-        .groupBy("b")
+        sets.select(F.explode("tokens").alias("t"))
+        .groupBy(_bucket(F.col("t")).alias("b"))
         .agg(F.least(F.lit(127), F.floor(3 * F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("level"))
     )
     levels = [0] * RARITY_BUCKETS
@@ -43,30 +42,49 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return lines.where(has_word(F.col("line")))
 
 
-def line_classes(lines: DataFrame) -> DataFrame:
-    """One row per distinct set of words: the first line that has it and two hashes that name the set.
+def _shift(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
 
-    ``parity`` has bit i set if an odd number of the set's hashes end in i, so sets that differ in few words
-    differ in few bits.
+
+def line_sets(lines: DataFrame) -> DataFrame:
+    """Per line the set of its words: two hashes that name it, its size, its parity and a token per word.
+
+    Words are split and hashed here only. ``tokens`` are 31 bits of each word's hash, with repeats where these
+    bits of two words are equal, so that sets which share words share as many tokens at least. ``parity`` has
+    bit i set if an odd number of the tokens end in i, so sets that differ in few words differ in few bits.
     """
-    tokens = F.sort_array(F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w)))
-    hashed = lines.select("kd", "line_no", "k1", "line", tokens.alias("s"))
+    hashes = F.sort_array(F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w)))
+    hashed = lines.select("kd", "line_no", "k1", hashes.alias("s"))
     named = hashed.select(
         "kd",
         "line_no",
         "k1",
-        "line",
         F.xxhash64("s").alias("c1"),
         F.xxhash64(F.lit(1), F.col("s")).alias("c2"),
         F.size("s").alias("n"),
-        F.aggregate(
-            "s",
-            F.lit(0).cast("long"),
-            lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))),
-        ).alias("parity"),
+        F.transform("s", lambda h: F.shiftrightunsigned(h, 33).cast("int")).alias("tokens"),
     )
-    first = F.min(F.struct("kd", "line_no", "k1", "line", "n", "parity"))
-    return named.groupBy("c1", "c2").agg(first.alias("first")).select("c1", "c2", "first.*")
+    parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(_shift(t)))
+    return named.withColumn("parity", parity)
+
+
+def _prefix_size(n: Column) -> Column:
+    return (n - F.call_function("div", n * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1).cast("int")
+
+
+def line_classes(sets: DataFrame, rarity: list[int]) -> DataFrame:
+    """One row per distinct set of words: the first line that has it and its rarest tokens, rarest first.
+
+    ``prefix`` has one token more than a similar set must share one of.
+    """
+    # folded to one array literal before the query runs
+    levels = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<long>")
+    # level and token in one number, so that the order is that of numbers
+    ranked = F.transform("tokens", lambda t: F.shiftleft(F.element_at(levels, _bucket(t) + F.lit(1)), 32).bitwiseOR(t.cast("long")))
+    rarest = F.slice(F.sort_array(ranked), F.lit(1), _prefix_size(F.col("n")) + 1)
+    prefix = F.transform(rarest, lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
+    rows = sets.select("c1", "c2", F.struct("kd", "line_no", "k1", "n", "parity", prefix.alias("prefix")).alias("first"))
+    return rows.groupBy("c1", "c2").agg(F.min("first").alias("first")).select("c1", "c2", "first.*")
 
 
 def _least_overlap(n: Column, m: Column) -> Column:
@@ -74,33 +92,17 @@ def _least_overlap(n: Column, m: Column) -> Column:
     return F.call_function("div", NUMERATOR * (n + m) + (NUMERATOR + DENOMINATOR - 1), F.lit(NUMERATOR + DENOMINATOR))
 
 
-def prefixes(classes: DataFrame, rarity: list[int]) -> DataFrame:
+def prefixes(classes: DataFrame) -> DataFrame:
     """The rarest tokens of every class: sets that are similar enough share one of them.
 
     ``next`` is the token that follows in the order. Sets of fewer than four words have no similar set but
     themselves.
     """
-    # folded to one array literal before the query runs
-    levels = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<long>")
-    # level and hash in one number, so that the order is that of numbers
-    ordered = F.sort_array(
-        F.transform(
-            F.array_distinct(words(F.col("line"))),
-            lambda w: bind(
-                F.xxhash64(w),
-                lambda h: F.shiftleft(F.element_at(levels, _bucket(h) + F.lit(1)), 56).bitwiseOR(F.shiftrightunsigned(h, 8)),
-            ),
-        )
-    )
-    n = F.col("n")
-    keep = (n - F.call_function("div", n * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1).cast("int")
-    token = lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int")
-    pairs = bind(
-        F.slice(ordered, F.lit(1), keep + 1),
-        lambda r: F.transform(F.slice(r, F.lit(1), keep), lambda t, i: F.struct(token(t).alias("token"), token(F.get(r, i + 1)).alias("next"))),
-    )
-    rows = classes.where(n >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
-    return rows.select("x.token", "x.next", *KEY, "n", "pos")
+    tokens = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
+    pairs = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), F.get("prefix", i + 1).alias("next")))
+    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
+    # the join asks for this of one side only; asked of both, they read one shuffle
+    return rows.select("x.token", "x.next", *KEY, "n", "pos").where("token is not null")
 
 
 KEY = ("kd", "line_no", "parity")
@@ -157,35 +159,52 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     return pairs.groupBy(*_PAIR).agg(F.max("head").alias("head"), F.max("x_next").alias("x_next"))
 
 
-def _wide_parity(hashes: Column) -> Column:
+def _wide_parity(tokens: str) -> Column:
     """The parity of WIDE bits as an array of longs."""
     return F.array(
         *[
             F.aggregate(
-                F.filter(hashes, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(WIDE // 64 - 1)) == k),  # noqa: B023
+                F.filter(tokens, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(WIDE // 64 - 1)) == k),  # noqa: B023
                 F.lit(0).cast("long"),
-                lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))),
+                lambda a, t: a.bitwiseXOR(_shift(t)),
             )
             for k in range(WIDE // 64)
         ]
     )
 
 
-def _near_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Staged pairs whose wide parities are near enough, and the staged classes that they are of."""
+_PLACE = ["kd", "k1", "line_no"]
+
+
+def _of_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+    """The classes that pairs are of, staged, without their tokens."""
     keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
     wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
-    hashes = F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w))
-    found = classes.join(wanted, list(KEY), "left_semi")
-    lines = stage(found.select(*KEY, "n", "c1", "c2", "line", bind(hashes, _wide_parity).alias("wide")), label + "-lines")
-    side = lambda s: lines.select(*_named(s, (*KEY, "n", "wide")))
+    found = classes.select(*KEY, "k1", "n", "c1", "c2").join(wanted, list(KEY), "left_semi")
+    return small(stage(found, label + "-classes"))
+
+
+def _near_pairs(pairs: DataFrame, classes: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """Staged pairs whose wide parities are near enough."""
+    mine = _of_pairs(pairs, classes, label + "-all")
+    # repeated rows of one id and one text have the same tokens
+    own = sets.select(*_PLACE, "tokens").join(mine, _PLACE).select(*KEY, "n", _wide_parity("tokens").alias("wide"))
+    wide = stage(own.groupBy(*KEY).agg(F.min(F.struct("n", "wide")).alias("o")).select(*KEY, "o.*"), label + "-wide")
+    side = lambda s: wide.select(*_named(s, (*KEY, "n", "wide")))
     both = pairs.join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
     bits = sum(
         (F.bit_count(F.col("y_wide")[k].bitwiseXOR(F.col("x_wide")[k])) for k in range(WIDE // 64)), F.lit(0)
     )
     bound = F.col("y_n") + F.col("x_n") - 2 * _least_overlap(F.col("y_n"), F.col("x_n"))
     near = both.withColumn("bits", bits).where(F.col("bits") <= bound)
-    return stage(near.select(*pairs.columns, (F.col("bits") / (F.col("y_n") + F.col("x_n"))).alias("difference")), label), lines
+    return stage(near.select(*pairs.columns, (F.col("bits") / (F.col("y_n") + F.col("x_n"))).alias("difference")), label)
+
+
+def _lines_of(pairs: DataFrame, classes: DataFrame, lines: DataFrame, label: str) -> DataFrame:
+    """The classes that pairs are of, with the words of their first lines; staged."""
+    mine = _of_pairs(pairs, classes, label)
+    found = lines.join(mine, _PLACE).groupBy(*KEY).agg(F.min(F.struct("c1", "c2", "line")).alias("o"))
+    return stage(found.select(*KEY, "o.*"), label + "-lines")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
@@ -202,11 +221,12 @@ def _verified(pairs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
 def kept_first_lines(docs: DataFrame) -> DataFrame:
     """(kd, k1, line_no) of the lines with a word that stay."""
     lines = line_rows(docs)
-    rarity = token_rarity(lines)
-    classes = stage(line_classes(lines), "line-classes")
-    posted = prefixes(classes, rarity)
+    sets = stage(line_sets(lines), "line-sets")
+    classes = stage(line_classes(sets, token_rarity(sets)), "line-classes")
+    posted = prefixes(classes)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    near, own = _near_pairs(pairs, classes, "line-near")
+    near = _near_pairs(pairs, classes, sets, "line-near")
+    own = _lines_of(near, classes, lines, "line-own")
     # the likeliest pair of each class first, then the other pairs of those that it did not settle
     y_names, x_names = _PAIR[:3], _PAIR[3:]
     likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
@@ -220,7 +240,8 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     if again.take(1):
         rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
         rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
-        gone = gone.unionAll(_verified(*_near_pairs(rest, classes, "line-near-again"), "line-settled-last"))
+        near = _near_pairs(rest, classes, sets, "line-near-again")
+        gone = gone.unionAll(_verified(near, _lines_of(near, classes, lines, "line-own-again"), "line-settled-last"))
     gone = gone.select("c1", "c2").distinct()
     return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")
 

@@ -102,7 +102,7 @@ def prefixes(classes: DataFrame) -> DataFrame:
     pairs = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), F.get("prefix", i + 1).alias("next")))
     rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
     # the join asks for this of one side only; asked of both, they read one shuffle
-    return rows.select("x.token", "x.next", *KEY, "n", "pos").where("token is not null")
+    return rows.select("x.token", "x.next", *KEY, "n", "pos").where("token is not null and parity is not null")
 
 
 KEY = ("kd", "line_no", "parity")
@@ -147,8 +147,9 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     pairs fail the verification meet their lists again later.
     """
     same = Window.partitionBy("token", "next").orderBy(*KEY)
-    firsts = [F.first(c).over(same).alias(f"h_{c}") for c in _ROW]
-    headed = posted.select(F.col("token").alias("y_token"), *_named("y"), *firsts)
+    # renamed above the window, whose order then serves the join as well
+    headed = posted.withColumns({f"h_{c}": F.first(c).over(same) for c in _ROW})
+    headed = headed.select(F.col("token").alias("y_token"), *_named("y"), *[f"h_{c}" for c in _ROW])
     headed = headed.withColumn("head", _may_be_similar("y", "h") & _earlier("y", "h"))
     # the same columns on both sides, so that both read one shuffle
     xs = posted.select(F.col("token").alias("x_token"), F.col("next").alias("x_next"), *_named("x"))

@@ -7,7 +7,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import pieces_of, stage, text_or_empty, with_row_key
+from matchloom.llm.common import pieces_of, small, stage, text_or_empty, with_row_key
 
 WINDOW = 35
 # A suffix of WINDOW words goes to a group by a prefix of variable length: up to the end of the ANCHOR words
@@ -241,7 +241,12 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     keyed = with_row_key(docs.select("doc_id", text_or_empty().alias("text")), F.col("text"))
-    texts = keyed.select("kd", "k1", "text")
+    keyed = keyed.withColumn("k2", F.xxhash64(F.lit(1), F.col("text")))
+    # all windows of a whole text that occurs again repeat, so one row stands for its copies in the search
+    copies = keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("times"), F.min("kd").alias("first_kd")).where("times > 1")
+    copies = small(stage(copies.select("k1", "k2", "first_kd"), "repeat-copies"))
+    keyed = keyed.join(copies, ["k1", "k2"], "left")
+    texts = keyed.where("first_kd is null or kd = first_kd").select("kd", "k1", "text")
     anchors = stage(_anchors(texts), "repeat-anchors")
     repeated = anchors.groupBy("h").agg(F.sum("n").alias("places")).where("places > 1")
     mine = (
@@ -260,9 +265,12 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
         for b in batches:
             out = []
-            for doc_id, text, ranges in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            columns = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()
+            for doc_id, text, ranges, copied in zip(*columns, strict=True):
                 words = text.encode().split()
-                if ranges.is_valid and len(ranges):
+                if copied and len(words) >= WINDOW:
+                    kept, spans = [], [{"from": 0, "to": len(words)}]
+                elif ranges.is_valid and len(ranges):
                     gone = np.zeros(len(words) + 1, dtype=np.int64)
                     np.add.at(gone, ranges.values.field("lo").to_numpy(), 1)
                     np.add.at(gone, ranges.values.field("hi").to_numpy() + WINDOW, -1)
@@ -280,7 +288,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "n_words", "n_removed", "kept_text", "removed"]
             )
 
-    joined = keyed.join(marks, ["kd", "k1"], "left").select(F.col("doc_id").cast("long"), "text", "marks")
+    joined = keyed.join(marks, ["kd", "k1"], "left").select(
+        F.col("doc_id").cast("long"), "text", "marks", F.col("first_kd").isNotNull().alias("copied")
+    )
     return joined.mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<from:long,to:long>>"
     )

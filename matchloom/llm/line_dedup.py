@@ -185,20 +185,23 @@ def _of_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     return small(stage(found, label + "-classes"))
 
 
-def _near_pairs(pairs: DataFrame, classes: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """Staged pairs whose wide parities are near enough."""
-    mine = _of_pairs(pairs, classes, label + "-all")
+def _wide_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """The classes that pairs are of, with their sizes and wide parities; staged."""
+    mine = _of_pairs(pairs, classes, label)
     # repeated rows of one id and one text have the same tokens
     own = sets.select(*_PLACE, "tokens").join(mine, _PLACE).select(*KEY, "n", _wide_parity("tokens").alias("wide"))
-    wide = stage(own.groupBy(*KEY).agg(F.min(F.struct("n", "wide")).alias("o")).select(*KEY, "o.*"), label + "-wide")
+    return stage(own.groupBy(*KEY).agg(F.min(F.struct("n", "wide")).alias("o")).select(*KEY, "o.*"), label + "-wide")
+
+
+def _near_pairs(pairs: DataFrame, wide: DataFrame, label: str) -> DataFrame:
+    """Staged pairs whose wide parities are near enough."""
     side = lambda s: wide.select(*_named(s, (*KEY, "n", "wide")))
     both = pairs.join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
     bits = sum(
         (F.bit_count(F.col("y_wide")[k].bitwiseXOR(F.col("x_wide")[k])) for k in range(WIDE // 64)), F.lit(0)
     )
     bound = F.col("y_n") + F.col("x_n") - 2 * _least_overlap(F.col("y_n"), F.col("x_n"))
-    near = both.withColumn("bits", bits).where(F.col("bits") <= bound)
-    return stage(near.select(*pairs.columns, (F.col("bits") / (F.col("y_n") + F.col("x_n"))).alias("difference")), label)
+    return stage(both.where(bits <= bound).select(*_PAIR), label)
 
 
 def _lines_of(pairs: DataFrame, classes: DataFrame, lines: DataFrame, label: str) -> DataFrame:
@@ -226,22 +229,24 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     classes = stage(line_classes(sets, token_rarity(sets)), "line-classes")
     posted = prefixes(classes)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    near = _near_pairs(pairs, classes, sets, "line-near")
-    own = _lines_of(near, classes, lines, "line-own")
+    wide = _wide_of(pairs, classes, sets, "line-all")
     # the likeliest pair of each class first, then the other pairs of those that it did not settle
     y_names, x_names = _PAIR[:3], _PAIR[3:]
-    likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
-    first = stage(near.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
-    gone = _verified(first, own, "line-settled")
-    others = near.join(gone.select(*_named("y", KEY)), y_names, "left_anti").join(first, _PAIR, "left_anti")
-    gone = gone.unionAll(_verified(others, own, "line-settled-more"))
+    difference = F.bit_count(F.col("y_parity").bitwiseXOR(F.col("x_parity")))
+    likeliest = F.min_by(F.struct(*x_names), F.struct(difference, *x_names)).alias("x")
+    first = stage(pairs.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
+    near = _near_pairs(first, wide, "line-near")
+    gone = _verified(near, _lines_of(near, classes, lines, "line-own"), "line-settled")
+    others = pairs.join(gone.select(*_named("y", KEY)), y_names, "left_anti").join(first, _PAIR, "left_anti")
+    near = _near_pairs(others, wide, "line-near-more")
+    gone = gone.unionAll(_verified(near, _lines_of(near, classes, lines, "line-own-more"), "line-settled-more"))
     # classes that were paired with heads in vain: the rest of their lists
     y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
     again = stage(pairs.where("head").select(*y_keys).distinct().join(gone, list(KEY), "left_anti"), "line-again")
     if again.take(1):
         rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
         rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
-        near = _near_pairs(rest, classes, sets, "line-near-again")
+        near = _near_pairs(rest, _wide_of(rest, classes, sets, "line-all-again"), "line-near-again")
         gone = gone.unionAll(_verified(near, _lines_of(near, classes, lines, "line-own-again"), "line-settled-last"))
     gone = gone.select("c1", "c2").distinct()
     return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")

@@ -67,15 +67,17 @@ def merge_season_files(
     tier: str = "1st",
     glob: str | None = None,
     pattern: str = "{Season_End_Year}_*.csv",
-) -> None:
+) -> DataFrame:
     """All ``{year}_*_{stat}_{level}.csv`` as one table, partitioned by league and sorted.
 
-    Rows are sorted by season and squad (and player) within each file.
+    Rows are sorted by season and squad (and player) within each file. Rows of competitions without a country
+    are not stored; returns how many each of these has (``Comp``, ``n_rows``), computed when it is read.
     """
     raw = drop_junk_columns(read_csv_union(spark, folder, glob or f"*_{stat}_{level}.csv"))
     keyed = with_file_keys(raw, pattern).drop(SOURCE)
     country = map_value(F.col("Comp"), COMP_COUNTRY if countries is None else countries, "null")
     df = stamp(keyed, Gender=gender, Tier=tier).withColumn("Country", country)
+    unmapped = df.filter(F.col("Country").isNull()).groupBy("Comp").agg(F.count(F.lit(1)).alias("n_rows"))
     df = df.filter(F.col("Country").isNotNull())
     sort = [c for c in ("Season_End_Year", "Squad", "Player") if c in df.columns and (c != "Player" or level == "player")]
     # ranges over the sort columns split a hot league over several files
@@ -83,6 +85,7 @@ def merge_season_files(
     ranged = ranged.sortWithinPartitions(*LEAGUE_KEYS, *sort)
     writer = ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*LEAGUE_KEYS).parquet(out)
+    return unmapped
 
 
 def historical_results(

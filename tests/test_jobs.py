@@ -104,7 +104,8 @@ def test_season_files(spark, tmp_path):
     write(folder, "2019_M_misc_player.csv", "Unnamed: 0,Comp,Squad,Player,Fls\n0,La Liga,S,P,1\n1,Cup,S,P,2\n")
     write(folder, "2018_M_misc_player.csv", "Squad,Player,Comp,CrdY\nS,Q,Serie A,4\n")
     write(folder, "2018_M_misc_team.csv", "Squad,Comp\nS,Serie A\n")
-    seasons.merge_season_files(spark, folder, "misc", "player", out)
+    unmapped = seasons.merge_season_files(spark, folder, "misc", "player", out)
+    assert [tuple(r) for r in unmapped.collect()] == [("Cup", 1)]
     rows = spark.read.parquet(out).collect()
     assert {(r.Country, r.Season_End_Year, r.Player, r.Fls, r.CrdY, r.Tier) for r in rows} == {
         ("ESP", "2019", "P", "1", None, "1st"),

@@ -66,6 +66,11 @@ def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _within(slots: Column, places: Column, size: Column) -> Column:
+    """The slots that lie inside a matched window; the windows begin at ``places``."""
+    return F.filter(slots, lambda s: F.exists(places, lambda i: (i <= s) & (s < i + size)))
+
+
 def _consistent(item_tokens: Column, item_slots: Column, doc_tokens: Column, start: Column) -> Column:
     """Whether each slot value of the item always meets one value in the document, and each of those one in the item."""
     pairs = bind(
@@ -85,8 +90,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(kd, k1, doc_id, item_id, start, n_matched, n_windows): the items that documents hold.
 
     Windows of 8 canonical tokens are joined by hash; a document holds an item if half of the item's windows
-    stand in it at the item's places and the slots of the aligned passage are consistent: the same number, name
-    or unit of the item always meets the same one in the document. Repeated passages give the start with the
+    stand in it at the item's places and the slots inside these windows are consistent: the same number, name
+    or unit of the item always meets the same one in the document. Places outside of the windows that stand in
+    the document, as after a cut or an insertion, say nothing about slots. Repeated passages give the start with the
     most windows, then the first. Items with fewer than 5 tokens say nothing and match nothing; those with
     fewer than 8 are one window. Null texts and null items match nothing. Rows of one id and text are one
     document; a null id is kept as null. Only windows that stand in the benchmark are shuffled.
@@ -99,16 +105,17 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for size in sorted(wanted):
         mine = windows.where(F.col("size") == size).select("h", "item_id", "i", "n_windows")
         stood = tokens.select("kd", "k1", F.posexplode(window_hashes(F.col("tokens"), size)).alias("at", "h"))
-        hits = stood.join(mine, "h").select("kd", "k1", "item_id", (F.col("at") - F.col("i")).alias("start"), "i", "n_windows")
+        hits = stood.join(mine, "h").select("kd", "k1", "item_id", (F.col("at") - F.col("i")).alias("start"), "i", "n_windows", F.lit(size).alias("size"))
         found = hits if found is None else found.unionAll(hits)
     if found is None:
         found = tokens.where(F.lit(False)).select(
-            "kd", "k1", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("i"), F.lit(0).alias("n_windows")
+            "kd", "k1", F.lit(None).cast("long").alias("item_id"), *[F.lit(0).alias(c) for c in ("start", "i", "n_windows", "size")]
         )
     aligned = (
-        found.groupBy("kd", "k1", "item_id", "start", "n_windows")
-        # rows of one id and text, and items with one id, meet here: count places, not rows
-        .agg(F.countDistinct("i").alias("n_matched"))
+        found.groupBy("kd", "k1", "item_id", "start", "n_windows", "size")
+        # rows of one id and text, and items with one id, meet here: places, not rows; as many as the item's windows
+        .agg(F.collect_set("i").alias("places"))
+        .withColumn("n_matched", F.size("places").cast("long"))
         .where(F.col("n_matched") >= LEAST_SHARE * F.col("n_windows"))
     )
     candidates = small(stage(aligned, "benchmark-candidates"))
@@ -124,6 +131,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     checked = (
         candidates.join(items.select("item_id", "item_tokens", slots.alias("slots")), "item_id")
         .join(texts.select("kd", "k1", "doc_id", raw_tokens(marked(F.col("t"))).alias("doc_tokens")), ["kd", "k1"])
+        .withColumn("slots", _within(F.col("slots"), F.col("places"), F.col("size")))
         .where(_consistent(F.col("item_tokens"), F.col("slots"), F.col("doc_tokens"), F.col("start")))
     )
     best = F.max_by(F.struct("start", "n_matched", "n_windows"), F.struct(F.col("n_matched"), -F.col("start")))

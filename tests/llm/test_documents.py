@@ -424,6 +424,21 @@ def test_new_numbers_and_names_are_found_if_they_are_consistent(spark):
     assert decontamination.benchmark_matches(docs, bench.limit(0)).count() == 0
 
 
+def test_slots_outside_of_matched_windows_say_nothing(spark):
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    rest = " ".join(f"Else{i} {i}" for i in range(30))
+    texts = [
+        ITEM[: ITEM.index(" back")] + " " + rest,
+        ITEM.replace("back to", "back again to"),
+        ITEM.replace(" back", ""),
+        rest + " " + ITEM[ITEM.index("sold") :],
+        ITEM.replace("to Peter, and Peter", "to Peter, and Hugo"),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in decontamination.benchmark_matches(docs, bench).collect()} == {0, 1, 2, 3}
+    assert [r.doc_id for r in decontamination.decontaminate(docs, bench).collect()] == [4]
+
+
 def test_passages_are_found_as_by_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

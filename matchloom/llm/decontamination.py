@@ -18,30 +18,45 @@ UNITS = (
 # keep these between digits; all other ASCII punctuation ends a token
 _PUNCTUATION = "\"#$%&'()*+-;<=>?@[\\]^_`{|}~!\t\r\x0b\f\x00\x01\x02"
 _NUMBER = r"(?<=\s)[0-9]\S*"
-_NAME = r"(?<=\s)\p{Lu}\p{Ll}\S*"
+# a capital and small letters, no name yet; a blank or hyphen between two of them joins them to one name
+_CAPITAL = r"\p{Lu}\p{Ll}"
+_INNER_RUN = rf"(?<![\p{{L}}\p{{N}}\ue000])({_CAPITAL}\p{{L}}*)(?:[ \t]+|-)(?={_CAPITAL})"
+_OPENING_RUN = rf"(\ue000{_CAPITAL}\p{{L}}*)(?:[ \t]+|-)(?={_CAPITAL})"
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+OPENER, JOIN, _OPENING_JOIN = "\ue000", "\ue004", "\ue005"
+# whether a capital that opens a sentence makes a name; both ways are searched, as neither is always right
+FORMS = (False, True)
 
 
 def marked(text: Column) -> Column:
-    """Tokens between blanks; the first capital of a sentence has a mark before it, as it need not be a name."""
+    """Tokens between blanks, runs of capitalised words joined; the first capital of a sentence has a mark before it."""
     starts = F.regexp_replace(text, r"(^|[.!?:\n][\"')\]]*\s*)(?=\p{Lu})", "$1 \ue000")
-    apart = F.translate(starts, _PUNCTUATION, " " * len(_PUNCTUATION))
+    runs = F.regexp_replace(F.regexp_replace(starts, _INNER_RUN, "$1" + JOIN), _OPENING_RUN, "$1" + _OPENING_JOIN)
+    apart = F.translate(runs, _PUNCTUATION, " " * len(_PUNCTUATION))
     inner = F.regexp_replace(apart, r"(?<![0-9])[.,:/]+|[.,:/]+(?![0-9])|\n", " ")
     return F.concat(F.lit(" "), inner, F.lit(" "))
 
 
-def canonical(marked_text: Column) -> Column:
-    """The same tokens with numbers, names and the units after numbers replaced by typed placeholders."""
-    numbers = F.regexp_replace(marked_text, _NUMBER, "\ue001")
-    names = F.regexp_replace(numbers, _NAME, "\ue002")
-    lower = F.translate(F.lower(names), "\ue000", "")
+def _in_form(marked_text: Column, openers: bool) -> Column:
+    """Words that open a sentence are joined to the name after them if they count as names themselves."""
+    return F.replace(marked_text, F.lit(_OPENING_JOIN), F.lit(JOIN if openers else " "))
+
+
+def canonical(marked_text: Column, openers: bool) -> Column:
+    """The same tokens with numbers, names and the units after numbers replaced by typed placeholders.
+
+    With ``openers`` a capitalised word that opens a sentence is a name as well, else it never is.
+    """
+    numbers = F.regexp_replace(_in_form(marked_text, openers), _NUMBER, "\ue001")
+    names = F.regexp_replace(numbers, rf"(?<=\s){OPENER + '?' if openers else ''}{_CAPITAL}\S*", "\ue002")
+    lower = F.translate(F.lower(names), OPENER, "")
     units = F.regexp_replace(lower, rf"(?<=\ue001\s)(?:{'|'.join(UNITS)})(?=\s)", "\ue003")
     return F.replace(F.replace(F.replace(units, F.lit("\ue001"), F.lit(NUMBER)), F.lit("\ue002"), F.lit(NAME)), F.lit("\ue003"), F.lit(UNIT))
 
 
-def raw_tokens(marked_text: Column) -> Column:
-    """The tokens as they are but for case, in step with the canonical ones."""
-    return words(F.translate(F.lower(marked_text), "\ue000", ""))
+def raw_tokens(marked_text: Column, openers: bool) -> Column:
+    """The tokens as they are but for case, in step with the canonical ones; openers keep their mark."""
+    return words(F.lower(_in_form(marked_text, openers)))
 
 
 def window_hashes(tokens: Column, size: int) -> Column:
@@ -55,14 +70,16 @@ def window_hashes(tokens: Column, size: int) -> Column:
 
 
 def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, size, i, h, n_windows); items shorter than a window are one window of their own size."""
-    b = benchmark.where(F.col("text").isNotNull()).select("item_id", words(canonical(marked(F.col("text").cast("string")))).alias("tokens"))
+    """(item_id, openers, size, n_windows, i, h); items shorter than a window are one window of their own size."""
+    texts = benchmark.where(F.col("text").isNotNull()).select("item_id", marked(F.col("text").cast("string")).alias("m"))
+    forms = [F.struct(F.lit(o).alias("openers"), words(canonical(F.col("m"), o)).alias("tokens")) for o in FORMS]
+    b = texts.select("item_id", F.explode(F.array(*forms)).alias("f")).select("item_id", "f.*")
     sized = b.where(F.size("tokens") >= MIN_TOKENS).withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW)))
     by_size = F.lit(None).cast("array<long>")
     for size in range(MIN_TOKENS, WINDOW + 1):
         by_size = F.when(F.col("size") == size, window_hashes(F.col("tokens"), size)).otherwise(by_size)
-    return sized.select("item_id", "size", by_size.alias("hs")).select(
-        "item_id", "size", F.size("hs").alias("n_windows"), F.posexplode("hs").alias("i", "h")
+    return sized.select("item_id", "openers", "size", by_size.alias("hs")).select(
+        "item_id", "openers", "size", F.size("hs").alias("n_windows"), F.posexplode("hs").alias("i", "h")
     )
 
 
@@ -71,14 +88,32 @@ def _within(slots: Column, places: Column, size: Column) -> Column:
     return F.filter(slots, lambda s: F.exists(places, lambda i: (i <= s) & (s < i + size)))
 
 
+def _without_opener(value: Column, other: Column) -> Column:
+    """A slot value that opens a sentence without its first word, if the value that it meets has the same one."""
+    first = lambda x: F.substring_index(x, JOIN, 1)
+    both = value.startswith(OPENER) & other.startswith(OPENER) & value.contains(JOIN) & other.contains(JOIN) & (first(value) == first(other))
+    rest = F.when(both, F.substring(value, F.length(first(value)) + 2, F.length(value))).otherwise(value)
+    return F.translate(rest, OPENER, "")
+
+
 def _consistent(item_tokens: Column, item_slots: Column, doc_tokens: Column, start: Column) -> Column:
-    """Whether each slot value of the item always meets one value in the document, and each of those one in the item."""
+    """Whether each slot value of the item always meets one value in the document, and each of those one in the item.
+
+    A name of several words at the first or last place of the item may have taken words of the text around it,
+    so it is not asked.
+    """
     pairs = bind(
         F.struct(item_tokens.alias("item"), doc_tokens.alias("doc")),
         lambda t: F.array_distinct(
             F.transform(
-                F.filter(item_slots, lambda i: F.get(t["doc"], i + start).isNotNull()),
-                lambda i: F.struct(F.get(t["item"], i).alias("a"), F.get(t["doc"], i + start).alias("b")),
+                F.filter(
+                    item_slots,
+                    lambda i: ~(((i == 0) | (i == F.size(t["item"]) - 1)) & F.get(t["doc"], i + start).contains(JOIN)),
+                ),
+                lambda i: F.struct(
+                    _without_opener(F.get(t["item"], i), F.get(t["doc"], i + start)).alias("a"),
+                    _without_opener(F.get(t["doc"], i + start), F.get(t["item"], i)).alias("b"),
+                ),
             )
         ),
     )
@@ -86,33 +121,48 @@ def _consistent(item_tokens: Column, item_slots: Column, doc_tokens: Column, sta
     return bind(pairs, lambda p: (one(p, "a") == F.size(p)) & (one(p, "b") == F.size(p)))
 
 
+def _words_before(tokens: Column, start: Column) -> Column:
+    """How many words the first ``start`` tokens have."""
+    joined = lambda: F.array_join(F.slice(tokens, F.lit(1), start), JOIN)
+    return F.when(start > 0, F.size(F.split(joined(), JOIN))).otherwise(start)
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(kd, k1, doc_id, item_id, start, n_matched, n_windows): the items that documents hold.
 
-    Windows of 8 canonical tokens are joined by hash; a document holds an item if half of the item's windows
+    A run of capitalised words is one token, a name. Whether a capitalised word that opens a sentence is a name
+    cannot be seen, so texts are compared in two forms, with all such words as names and with none, and either
+    is enough. Windows of 8 canonical tokens are joined by hash; a document holds an item if half of the item's windows
     stand in it at the item's places and the slots inside these windows are consistent: the same number, name
     or unit of the item always meets the same one in the document. Places outside of the windows that stand in
     the document, as after a cut or an insertion, say nothing about slots. Repeated passages give the start with the
-    most windows, then the first. Items with fewer than 5 tokens say nothing and match nothing; those with
+    most windows, then the first; ``start`` is the place of a word, whatever the form. Items with fewer than 5 tokens say nothing and match nothing; those with
     fewer than 8 are one window. Null texts and null items match nothing. Rows of one id and text are one
     document; a null id is kept as null. Only windows that stand in the benchmark are shuffled.
     """
     windows = small(stage(_benchmark_windows(benchmark), "benchmark-windows"))
     keyed = with_row_key(docs.select("doc_id", text_or_empty().alias("t")), F.col("t"))
-    tokens = keyed.select("kd", "k1", words(canonical(marked(F.col("t")))).alias("tokens"))
+    forms = keyed.select("kd", "k1", marked(F.col("t")).alias("m"))
+    tokens = forms.select("kd", "k1", *[words(canonical(F.col("m"), o)).alias(f"tokens_{o}") for o in FORMS])
     wanted = [r["size"] for r in windows.select("size").distinct().collect()]  # four values at most
     found = None
     for size in sorted(wanted):
-        mine = windows.where(F.col("size") == size).select("h", "item_id", "i", "n_windows")
-        stood = tokens.select("kd", "k1", F.posexplode(window_hashes(F.col("tokens"), size)).alias("at", "h"))
-        hits = stood.join(mine, "h").select("kd", "k1", "item_id", (F.col("at") - F.col("i")).alias("start"), "i", "n_windows", F.lit(size).alias("size"))
+        mine = windows.where(F.col("size") == size).select("h", "openers", "item_id", "i", "n_windows")
+        plain, opening = [window_hashes(F.col(f"tokens_{o}"), size) for o in FORMS]
+        both = tokens.select("kd", "k1", plain.alias("plain"), opening.alias("opening"))
+        # windows of the two forms in one array, so that texts are read once; the outer form, as the filter that the
+        # optimiser infers for the other would work out all windows a second time
+        stood = both.select("kd", "k1", F.size("plain").alias("n"), F.posexplode_outer(F.concat("plain", "opening")).alias("at", "h"))
+        met = (stood["h"] == mine["h"]) & ((F.col("at") >= F.col("n")) == F.col("openers"))
+        start = F.col("at") - F.when(F.col("openers"), F.col("n")).otherwise(0) - F.col("i")
+        hits = stood.join(mine, met).select("kd", "k1", "item_id", "openers", start.alias("start"), "i", "n_windows", F.lit(size).alias("size"))
         found = hits if found is None else found.unionAll(hits)
     if found is None:
         found = tokens.where(F.lit(False)).select(
-            "kd", "k1", F.lit(None).cast("long").alias("item_id"), *[F.lit(0).alias(c) for c in ("start", "i", "n_windows", "size")]
+            "kd", "k1", F.lit(None).cast("long").alias("item_id"), F.lit(False).alias("openers"), *[F.lit(0).alias(c) for c in ("start", "i", "n_windows", "size")]
         )
     aligned = (
-        found.groupBy("kd", "k1", "item_id", "start", "n_windows", "size")
+        found.groupBy("kd", "k1", "item_id", "openers", "start", "n_windows", "size")
         # rows of one id and text, and items with one id, meet here: places, not rows; as many as the item's windows
         .agg(F.collect_set("i").alias("places"))
         .withColumn("n_matched", F.size("places").cast("long"))
@@ -120,21 +170,27 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     candidates = small(stage(aligned, "benchmark-candidates"))
     texts = keyed.join(candidates.select("kd", "k1"), ["kd", "k1"], "left_semi").dropDuplicates(["kd", "k1"])
-    items = benchmark.where(F.col("text").isNotNull()).select(
-        "item_id",
-        raw_tokens(marked(F.col("text").cast("string"))).alias("item_tokens"),
-        words(canonical(marked(F.col("text").cast("string")))).alias("item_canonical"),
-    )
+    asked = benchmark.where(F.col("text").isNotNull()).select("item_id", marked(F.col("text").cast("string")).alias("m"))
+    item_forms = [
+        F.struct(F.lit(o).alias("openers"), raw_tokens(F.col("m"), o).alias("item_tokens"), words(canonical(F.col("m"), o)).alias("item_canonical"))
+        for o in FORMS
+    ]
+    items = asked.select("item_id", F.explode(F.array(*item_forms)).alias("f")).select("item_id", "f.*")
     slots = F.filter(
         F.transform("item_canonical", lambda x, i: F.when(x.isin(NUMBER, NAME, UNIT), i)), lambda x: x.isNotNull()
     )
+    held = texts.select("kd", "k1", "doc_id", marked(F.col("t")).alias("m"))
+    doc_tokens = F.when(F.col("openers"), raw_tokens(F.col("m"), True)).otherwise(raw_tokens(F.col("m"), False))
     checked = (
-        candidates.join(items.select("item_id", "item_tokens", slots.alias("slots")), "item_id")
-        .join(texts.select("kd", "k1", "doc_id", raw_tokens(marked(F.col("t"))).alias("doc_tokens")), ["kd", "k1"])
+        candidates.join(items.select("item_id", "openers", "item_tokens", slots.alias("slots")), ["item_id", "openers"])
+        .join(held, ["kd", "k1"])
+        .withColumn("doc_tokens", doc_tokens)
         .withColumn("slots", _within(F.col("slots"), F.col("places"), F.col("size")))
         .where(_consistent(F.col("item_tokens"), F.col("slots"), F.col("doc_tokens"), F.col("start")))
+        .withColumn("start", _words_before(F.col("doc_tokens"), F.col("start")))
     )
-    best = F.max_by(F.struct("start", "n_matched", "n_windows"), F.struct(F.col("n_matched"), -F.col("start")))
+    order = F.struct(F.col("n_matched"), -F.col("start"), ~F.col("openers"), "n_windows")
+    best = F.max_by(F.struct("start", "n_matched", "n_windows"), order)
     return checked.groupBy("kd", "k1", "doc_id", "item_id").agg(best.alias("m")).select("kd", "k1", "doc_id", "item_id", "m.*")
 
 

@@ -1,5 +1,6 @@
 """Document operators against brute force, exact round trips and held-out labels, and on awkward tables."""
 
+import functools
 import random
 import zlib
 from collections import Counter
@@ -439,6 +440,31 @@ def test_slots_outside_of_matched_windows_say_nothing(spark):
     assert [r.doc_id for r in decontamination.decontaminate(docs, bench).collect()] == [4]
 
 
+def test_names_that_open_sentences_and_names_of_several_words(spark):
+    opening = "Natalia sold clips to 48 friends in April. Natalia then sold half as many clips in May. How many clips did Natalia sell?"
+    only = "Natalia ran 12 miles on one day and 5 miles on the next. Natalia wants to know the mean of all her runs"
+    pair = "Natalia met Otto at noon. Natalia left Otto at one"
+    bench = spark.createDataFrame([(1, opening), (2, ITEM), (3, only), (4, pair)], "item_id long, text string")
+    named = lambda text, *pairs: functools.reduce(lambda t, p: t.replace(*p), pairs, text)
+    texts = [
+        opening,
+        named(opening, ("Natalia", "Weng")),
+        named(opening, ("Natalia", "Mary Ann"), ("48", "7"), ("April", "June")),
+        "Question Two: " + named(opening, ("Natalia", "Anne-Marie")) + " Answer",
+        "see Old " + named(opening, ("Natalia", "Weng")),
+        named(ITEM, ("Maria", "Mary Ann"), ("Peter", "Jean Paul")),
+        named(only, ("Natalia", "Mary Ann Smith")),
+        named(pair, ("Natalia", "Weng")),
+        named(pair, ("Natalia left", "Weng left")),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontamination.benchmark_matches(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 4)}
+    assert {(r.doc_id, r.start) for r in found if r.doc_id in (0, 1, 3)} == {(0, 0), (1, 0), (3, 2)}
+    # Natalia once stays and once is Weng
+    assert not [r for r in found if r.doc_id == 8]
+
+
 def test_passages_are_found_as_by_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

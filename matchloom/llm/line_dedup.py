@@ -100,13 +100,14 @@ def prefixes(classes: DataFrame) -> DataFrame:
     """
     tokens = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
     pairs = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), F.get("prefix", i + 1).alias("next")))
-    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", F.posexplode(pairs).alias("pos", "x"))
+    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", "parity", F.posexplode(pairs).alias("pos", "x"))
     # the join asks for this of one side only; asked of both, they read one shuffle
-    return rows.select("x.token", "x.next", *KEY, "n", "pos").where("token is not null and parity is not null")
+    return rows.select("x.token", "x.next", *KEY, "n", "parity", "pos").where("token is not null and parity is not null")
 
 
-KEY = ("kd", "line_no", "parity")
-_ROW = (*KEY, "n", "pos")
+# of the first line of a class: no other class has it, also under a null or repeated id
+KEY = ("kd", "line_no", "k1")
+_ROW = (*KEY, "n", "parity", "pos")
 _PAIR = [f"{side}_{c}" for side in "yx" for c in KEY]
 
 
@@ -115,8 +116,8 @@ def _named(side: str, names=_ROW) -> list[Column]:
 
 
 def _earlier(y: str, x: str) -> Column:
-    kd, line, parity = [(F.col(f"{x}_{c}"), F.col(f"{y}_{c}")) for c in KEY]
-    return (kd[0] < kd[1]) | ((kd[0] == kd[1]) & ((line[0] < line[1]) | ((line[0] == line[1]) & (parity[0] < parity[1]))))
+    kd, line, text = [(F.col(f"{x}_{c}"), F.col(f"{y}_{c}")) for c in KEY]
+    return (kd[0] < kd[1]) | ((kd[0] == kd[1]) & ((line[0] < line[1]) | ((line[0] == line[1]) & (text[0] < text[1]))))
 
 
 def _may_be_similar(y: str, x: str) -> Column:
@@ -156,8 +157,10 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     met = (F.col("y_token") == F.col("x_token")) & ~F.col("head") & _may_be_similar("y", "x") & _earlier("y", "x")
     joined = headed.join(xs, met, "left").where("head or x_token is not null")
     other = [F.when(F.col("head"), F.col(f"h_{c}")).otherwise(F.col(f"x_{c}")).alias(f"x_{c}") for c in KEY]
-    pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next")
-    return pairs.groupBy(*_PAIR).agg(F.max("head").alias("head"), F.max("x_next").alias("x_next"))
+    parity = F.when(F.col("head"), F.col("h_parity")).otherwise(F.col("x_parity"))
+    difference = F.bit_count(F.col("y_parity").bitwiseXOR(parity))
+    pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next", difference.alias("difference"))
+    return pairs.groupBy(*_PAIR).agg(*[F.max(c).alias(c) for c in ("head", "x_next", "difference")])
 
 
 def _wide_parity(tokens: str) -> Column:
@@ -181,7 +184,7 @@ def _of_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     """The classes that pairs are of, staged, without their tokens."""
     keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
     wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
-    found = classes.select(*KEY, "k1", "n", "c1", "c2").join(wanted, list(KEY), "left_semi")
+    found = classes.select(*KEY, "n", "c1", "c2").join(wanted, list(KEY), "left_semi")
     return small(stage(found, label + "-classes"))
 
 
@@ -232,8 +235,7 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     wide = _wide_of(pairs, classes, sets, "line-all")
     # the likeliest pair of each class first, then the other pairs of those that it did not settle
     y_names, x_names = _PAIR[:3], _PAIR[3:]
-    difference = F.bit_count(F.col("y_parity").bitwiseXOR(F.col("x_parity")))
-    likeliest = F.min_by(F.struct(*x_names), F.struct(difference, *x_names)).alias("x")
+    likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
     first = stage(pairs.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
     near = _near_pairs(first, wide, "line-near")
     gone = _verified(near, _lines_of(near, classes, lines, "line-own"), "line-settled")
@@ -258,7 +260,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     Lines are ordered by (doc_id, place); a null id comes first. A line stays if no line before it, kept or
     not, has the same or a similar set. Lines without a word always stay and match nothing. Rows of one id and
     one text are one document: they keep the same lines. Where one id has several texts, lines of equal place
-    are ordered by the parity of their words' hashes. A null text is empty. Gives one row per input row: ``row`` (a struct of all
+    are ordered by a hash of the text. A null text is empty. Gives one row per input row: ``row`` (a struct of all
     columns, so that none can clash), ``n_lines`` and ``n_removed`` (lines with a word), ``kept_text``.
     """
     kept = kept_first_lines(docs).groupBy("kd", "k1").agg(F.collect_set("line_no").alias("keep"))

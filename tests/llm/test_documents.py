@@ -386,6 +386,18 @@ def test_line_dedup(spark, awkward, plain_rows):
     assert line_dedup.dedup_documents(awkward).columns == awkward.columns
 
 
+def test_lines_of_one_place_and_parity_under_a_null_id(spark):
+    bit = lambda w: xxhash.xxh64_intdigest(w.encode(), 42) >> 33 & 63
+    base = [f"a{i}" for i in range(10)]
+    twin = [next(w for w in (f"b{i}x{j}" for j in range(10**5)) if bit(w) == bit(a)) for i, a in enumerate(base)]
+    rows = [(None, " ".join(base)), (None, " ".join(twin)), (1, " ".join([*base, "more"])), (2, " ".join([*twin, "more"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parities = {r.parity for r in line_dedup.line_sets(line_dedup.line_rows(df.where("doc_id is null"))).collect()}
+    assert len(parities) == 1
+    found = line_dedup.line_dedup(df).select("row.doc_id", "n_lines", "n_removed", "kept_text").collect()
+    assert counts_of(found) == brute_lines(rows)
+
+
 def test_variants_of_one_line(spark):
     rng = random.Random(4)
     base = [f"v{i}" for i in range(30)]

@@ -21,6 +21,7 @@ from matchloom.llm import (
     quality_classifier,
     quality_rules,
     queries,
+    sampling,
     simhash_dedup,
     substring_dedup,
     toxicity,
@@ -187,6 +188,16 @@ def test_classifiers_on_awkward_tables(spark, awkward, model):
 # near duplicates
 
 
+def test_sample_has_one_text_of_each_id(spark):
+    rows = [(1, f"copy {i % 3}") for i in range(30)] + [(2, "two"), (3, None), (4, "four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "doc_id long, toxic int")
+    found = sampling.labelled_sample(docs, labels, "toxic", 2)
+    assert Counter(label for _, label in found) == {0: 2, 1: 2}
+    assert sorted(t for t, _ in found if not t.startswith("copy")) == ["", "four", "two"]
+    assert sampling.labelled_sample(docs.repartition(7), labels, "toxic", 2) == found
+
+
 def brute_fingerprint(text):
     words = text.encode().lower().split()
     if not words:

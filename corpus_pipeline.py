@@ -32,7 +32,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), added_tokens=True)
 
 
 STAGES = [

@@ -91,7 +91,7 @@ def op7_chat_format(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
-    return packing.pack(_table(spark, directory, "documents"), public_tokenizers.path(TOKENIZER))
+    return packing.pack(_table(spark, directory, "documents"), public_tokenizers.path(TOKENIZER), added_tokens=True)
 
 
 def op9_line_dedup(spark: SparkSession, directory: str) -> DataFrame:

@@ -320,6 +320,19 @@ def test_ids_are_those_of_the_tokenizer(spark):
         assert all(p.length == 2048 for p in parts[1:]) and (len(ids) > 2048 or len(parts) == 1)
 
 
+def test_added_tokens_have_one_id_in_the_query(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = {0: "see <|endoftext|> here", 1: "<|endoftext|><|endoftext|>\n a<|endoftext|>b <|endoftext", 2: "none"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    assert {r.doc_id: r.ids for r in packing.pack(df, TOKENIZER, keep_ids=True, added_tokens=True).collect()} == ids
+    found = {r.doc_id: r.ids_crc32 for r in queries.op8_best_fit_packing(spark, str(tmp_path)).collect()}
+    assert found == {i: zlib.crc32(np.array(x, "<u4").tobytes()) for i, x in ids.items()}
+
+
 def valid_sequences(rows, capacity=2048):
     by = {}
     for r in rows:

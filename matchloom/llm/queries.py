@@ -13,13 +13,16 @@ from matchloom.llm import (
     decontamination,
     license_scan,
     line_dedup,
+    merkle_manifest,
     packing,
     quality_classifier,
     quality_rules,
     simhash_dedup,
+    structure_repair,
     substring_dedup,
     toxicity,
 )
+from matchloom.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 # the fold whose labels no fit sees
@@ -104,6 +107,50 @@ def op10_benchmark_decontamination(spark: SparkSession, directory: str) -> DataF
     return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_matched").cast("long"), F.col("n_windows").cast("long"))
 
 
+def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    # every second document is shown without its line ends; the manifest is that of the whole rows
+    is_tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    cut = merkle_manifest.leaf(*[F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in merkle_manifest.FIELDS])
+    proofs = merkle_manifest.manifest(_table(spark, directory, "documents"), {"tampered": F.when(is_tampered, cut)})
+    found = proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle_manifest.folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns by a hash of their conversation and turn: lost, emptied, without ``.!?``, twice, or the user's."""
+    rows = structure_repair.turns_of(turns)
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(place.cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1)))
+    changed = rows.where(kind != 0).select("conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies)
+    return changed.drop("col")
+
+
+def op13_structure_repair(spark: SparkSession, directory: str) -> DataFrame:
+    turns = _table(spark, directory, "conversations")
+    rows = damaged(turns)
+    plans = stage(structure_repair.plan_repairs(rows), "repair-plans")
+    digests = structure_repair.conversation_digests(structure_repair.repaired_turns(rows, plans))
+    every = turns.select(F.col("conv_id").cast("long").alias("of")).distinct()
+    found = every.join(plans, F.col("of").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(digests, F.col("of").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        F.col("of").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,6 +164,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_line_dedup,
         op10_benchmark_decontamination,
+        op11_merkle_manifest,
+        op13_structure_repair,
     )
 }
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.llm import (
+    byte_bpe,
     chat_format,
     decontamination,
     license_scan,
@@ -25,6 +26,7 @@ from matchloom.llm import (
 from matchloom.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 # the fold whose labels no fit sees
 FOLDS, HELD_OUT = 4, 2
 
@@ -123,6 +125,17 @@ def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANKS)
+    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, directory, "documents"), ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Turns by a hash of their conversation and turn: lost, emptied, without ``.!?``, twice, or the user's."""
     rows = structure_repair.turns_of(turns)
@@ -165,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_line_dedup,
         op10_benchmark_decontamination,
         op11_merkle_manifest,
+        op12_byte_bpe,
         op13_structure_repair,
     )
 }

@@ -37,6 +37,8 @@ SHORT, LONG, LEAD, GAP, RESET = range(4, 9)
 #: with the next or the second next letter, or where a token starts whatever comes
 IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, AFTER_BLANK, ONE_MORE, TWO_MORE, FRESH = range(8)
 BLOCK = 64
+#: bytes of text that a task reads at once, one text at least
+BATCH_BYTES = 400_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +145,7 @@ def pre_tokens(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of byte strings, merges with a bounded memory of pieces, and the bytes of ids."""
 
-    CACHED_PIECES, CACHED_BYTES, SHORT_BYTES = 1 << 19, 64, 128
+    CACHED_PIECES, CACHED_BYTES, SHORT_BYTES = 1 << 18, 64, 128
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as lines:
@@ -252,20 +254,22 @@ def encode_texts(texts: list[str], known: Vocabulary) -> tuple[np.ndarray, np.nd
     return ids, np.diff(until, prepend=0)
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, decode_again: bool = False) -> DataFrame:
     """(doc_id, ids array<int>, offsets array<long>) of every row; token i is the bytes from offsets[i] to offsets[i + 1].
 
+    With ``decode_again`` also ``decoded``, the bytes that the ids stand for, as by ``decode``.
+
     ``tokenizer`` is the path of a ranks file: a base64 byte string and its rank on each line, single bytes included.
     Ids are those of the tiktoken library without special tokens, the pattern being the one named above. Null texts
     are empty and have no ids and the one offset 0; repeated rows and null ids stay; other columns are not read; an
     empty table gives no row. A text is whole in its task, at some 100 bytes a character; texts of a batch are read
-    two million bytes at a time. The ids of up to ``CACHED_PIECES`` short pre-tokens are remembered.
+    ``BATCH_BYTES`` at a time. The ids of up to ``CACHED_PIECES`` short pre-tokens are remembered.
     """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(tokenizer)
-        for b in pieces_of(batches, 1):
+        for b in pieces_of(batches, 1, BATCH_BYTES):
             ids, counts = encode_texts(b.column(1).to_pylist(), known)
             ends = np.concatenate([[0], np.cumsum(counts)])
             # a text's offsets start at 0 again: one entry more than its ids
@@ -274,17 +278,18 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
             firsts = np.cumsum(per_text) - per_text
             place = np.arange(int(per_text.sum())) - np.repeat(firsts, per_text) + np.repeat(ends[:-1], per_text)
             offsets = at[place] - np.repeat(at[ends[:-1]], per_text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                    pa.ListArray.from_arrays(pa.array(np.append(firsts, len(offsets)), pa.int32()), pa.array(offsets)),
-                ],
-                ["doc_id", "ids", "offsets"],
-            )
+            columns = [
+                b.column(0),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                pa.ListArray.from_arrays(pa.array(np.append(firsts, len(offsets)), pa.int32()), pa.array(offsets)),
+            ]
+            if decode_again:
+                data = known.decoded(ids, at)
+                columns.append(pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(at[ends]), pa.py_buffer(data)]).cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "offsets", "decoded"][: len(columns)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>" + ", decoded binary" * decode_again)
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:

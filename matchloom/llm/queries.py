@@ -126,8 +126,7 @@ def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
-    ranks = public_tokenizers.path(RANKS)
-    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, directory, "documents"), ranks), ranks)
+    decoded = byte_bpe.encode(_table(spark, directory, "documents"), public_tokenizers.path(RANKS), decode_again=True)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -113,6 +113,8 @@ def test_query_over_awkward_rows(spark, library, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(7) for c in ("ids", "offsets", "decoded", "n_tokens")})
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert Counter(tuple(r) for r in queries.op12_byte_bpe(spark, str(tmp_path)).collect()) == expected(library, rows)
+    again = byte_bpe.decode(byte_bpe.encode(docs, PATH), PATH).select("doc_id", "decoded").collect()
+    assert Counter((r.doc_id, bytes(r.decoded)) for r in again) == Counter((i, (t or "").encode()) for i, t in rows)
 
 
 def test_query_over_no_rows(spark, tmp_path):

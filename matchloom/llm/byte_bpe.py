@@ -145,7 +145,7 @@ def pre_tokens(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of byte strings, merges with a bounded memory of pieces, and the bytes of ids."""
 
-    CACHED_PIECES, CACHED_BYTES, SHORT_BYTES = 1 << 18, 64, 128
+    CACHED_PIECES, CACHED_BYTES, SHORT_BYTES = 1 << 19, 64, 128
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as lines:
@@ -153,6 +153,8 @@ class Vocabulary:
         # a clear comes before a batch of pieces, so that a batch may go beyond the bound by its own pieces
         tokens = sorted((i, t) for t, i in self.ranks.items())
         self.no_rank = tokens[-1][0] + 1
+        self.singles = [bytes([a]) for a in range(256)]
+        self.doubles = [self.ranks.get(a + b, self.no_rank) for a in self.singles for b in self.singles]
         self.sizes = np.zeros(self.no_rank, np.int64)
         for i, t in tokens:
             self.sizes[i] = len(t)
@@ -193,16 +195,17 @@ class Vocabulary:
     def _merged_short(self, piece: bytes) -> tuple[int, ...]:
         """The same, looking at all pairs for the least: quicker than a heap as long as they are few."""
         rank, none = self.ranks.get, self.no_rank
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        singles, doubles = self.singles, self.doubles
+        parts = [singles[a] for a in piece]
+        pairs = [doubles[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
         while pairs and (least := min(pairs)) < none:
             i = pairs.index(least)
-            parts[i] += parts.pop(i + 1)
+            parts[i] = part = parts[i] + parts.pop(i + 1)
             del pairs[i]
             if i < len(pairs):
-                pairs[i] = rank(parts[i] + parts[i + 1], none)
+                pairs[i] = rank(part + parts[i + 1], none)
             if i:
-                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+                pairs[i - 1] = rank(parts[i - 1] + part, none)
         return tuple(self.ranks[p] for p in parts)
 
     def encoded(self, pieces: list[bytes]) -> list[tuple[int, ...]]:

@@ -203,6 +203,21 @@ def frames_differ(spark, d):
     return gone.groupBy("Country", "Gender", "Tier").agg(F.sum("surplus").cast("bigint").alias("changed"))
 
 
+@check(
+    "P14_fingerprints",
+    """SELECT Country, Gender, Tier, count(*) AS rows, count(*) FILTER (WHERE MatchURL IS NULL) > 0 AS changed FROM results
+    GROUP BY Country, Gender, Tier""",
+    results=RESULTS,
+)
+def fingerprints(spark, d):
+    keys = ["Country", "Gender", "Tier"]
+    before = run(spark, d, RESULTS).select(*keys, "MatchURL", F.create_map(F.lit("season"), "Season_End_Year").alias("more"))
+    after = ops.fingerprints(before.na.fill("", subset=["MatchURL"]).repartition(5), keys)
+    marked = ops.fingerprints(before, keys).withColumn("side", F.lit(0)).unionByName(after.withColumn("side", F.lit(1)))
+    both = marked.groupBy(*keys).agg(F.max("rows").alias("rows"), F.countDistinct("rows", "sum_1", "sum_2").alias("kinds"))
+    return both.select(*keys, "rows", (F.col("kinds") > 1).alias("changed"))
+
+
 @check(
     "P15_fix_team_names",
     """SELECT MatchKey, Country, CASE WHEN Country = 'NATION_4' THEN replace(MatchURL, 'History', 'Past-Games')

@@ -303,3 +303,20 @@ TEAMS = """SELECT n_nationkey AS team, (n_nationkey - 12) / 50.0E0 AS attack, (n
 )
 def ordered_pairs(spark, d):
     return ops.ordered_pairs(run(spark, d, FIXTURES), run(spark, d, TEAMS))
+
+
+CLUBS = """SELECT s_suppkey AS team, s_nationkey / 50.0E0 AS attack, (s_nationkey - 12) / 20.0E0 AS defence FROM {supplier}"""
+MET = """SELECT l_suppkey AS home, 1 + l_partkey % 10 AS away, CAST(sum(l_linenumber) AS bigint) AS goals
+    FROM {lineitem} GROUP BY l_suppkey, 1 + l_partkey % 10"""
+
+
+@check(
+    "J14_all_pairs",
+    """SELECT h.team AS home, a.team AS away, goals, h.attack AS home_attack, h.defence AS home_defence,
+    a.attack AS away_attack, a.defence AS away_defence FROM teams h JOIN teams a ON h.team <> a.team
+    LEFT JOIN fixtures ON home = h.team AND away = a.team""",
+    fixtures=MET,
+    teams=CLUBS,
+)
+def all_pairs(spark, d):
+    return ops.all_pairs(run(spark, d, CLUBS), run(spark, d, MET))

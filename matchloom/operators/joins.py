@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -13,6 +14,7 @@ from matchloom.operators.aggregates import collapse
 from matchloom.operators.cleaning import valid_matches
 from matchloom.operators.unions import relaxed_union
 from matchloom.schemas import FIRST_SEASON, league_config
+from matchloom.session import materialize
 
 
 def with_league_config(
@@ -145,19 +147,48 @@ def orphans(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.filter(quoted(key).isNotNull()).join(b.select(quoted(key)).distinct(), key, "left_anti")
 
 
-def completeness_grid(df: DataFrame, dims: Sequence[str]) -> DataFrame:
+def _numbered_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """The distinct values of a column with ``_index`` from 0, and how many there are; nulls are left out.
+
+    Values are numbered within the partitions that hold them, written once with their numbers, and moved by the
+    counts of the partitions before; only those counts reach the driver.
+    """
+    values = df.select(quoted(column)).filter(quoted(column).isNotNull()).distinct()
+    kept = materialize(values.withColumn("_id", F.monotonically_increasing_id()), "grid-values")
+    part = F.shiftrightunsigned("_id", 33)
+    counts = {r["part"]: r["n"] for r in kept.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    bases, total = [], 0
+    for p, n in sorted(counts.items()):
+        bases.append((p, total - (p << 33)))
+        total += n
+    moved = kept.join(F.broadcast(df.sparkSession.createDataFrame(bases, "_part long, _base long")), part == F.col("_part"))
+    return moved.select(quoted(column), (F.col("_id") + F.col("_base")).alias("_index")), total
+
+
+def completeness_grid(df: DataFrame, dims: Sequence[str], most: int = 10**11) -> DataFrame:
     """All combinations of the values of each dimension, and whether they occur.
 
-    The first dimension stays distributed; the values of the others are exploded
-    onto it one by one, as arrays that the executors compute. The grid is their
-    product, so the other dimensions should be short (leagues, tiers, seasons).
+    Each dimension's values are numbered; a cell of the grid is one number of a distributed range, whose digits in
+    the mixed base of the dimensions' sizes pick the values by equi-joins. Nothing is gathered in one task, whatever
+    a dimension's size. The grid is the product of the sizes: above ``most`` cells an error says so before any is made.
     """
-    grid = df.select(quoted(dims[0])).filter(quoted(dims[0]).isNotNull()).distinct()
-    for d in dims[1:]:
-        found = df.agg(F.collect_set(quoted(d)).alias("found"))
-        grid = grid.withColumn("_found", found.scalar()).withColumn(d, F.explode("_found")).drop("_found")
+    spark, cells, stride, parts = df.sparkSession, 1, 1, []
+    for d in dims:
+        values, size = _numbered_values(df, d)
+        parts.append((d, values, size))
+        cells *= size
+    if cells > most:
+        sizes = ", ".join(f"{d} {size}" for d, _, size in parts)
+        raise ValueError(f"the grid has {cells} cells, more than {most}: {sizes}")
+    tasks = max(spark.sparkContext.defaultParallelism, cells // 5_000_000)
+    grid = spark.range(0, cells, 1, tasks)
+    for d, values, size in parts:
+        grid = grid.withColumn("_digit", F.expr(f"(id div {stride}) % {max(size, 1)}"))
+        grid = grid.join(values, F.col("_digit") == F.col("_index")).drop("_digit", "_index")
+        stride *= max(size, 1)
     seen = df.select(*map(quoted, dims)).distinct().withColumn("present", F.lit(True))
-    return grid.join(seen, list(dims), "left").withColumn("present", F.coalesce("present", F.lit(False)))
+    grid = grid.select(*map(quoted, dims)).join(seen, list(dims), "left")
+    return grid.withColumn("present", F.coalesce("present", F.lit(False)))
 
 
 def matches_with_lineups(matches: DataFrame, lineups: DataFrame) -> DataFrame:
@@ -172,7 +203,7 @@ def broadcast_match_header(header: DataFrame, rows: DataFrame, key: str = "page_
 
 
 def ordered_pairs(fixtures: DataFrame, teams: DataFrame) -> DataFrame:
-    """Each (home, away) fixture with both teams' parameters.
+    """Each (home, away) fixture with both teams' parameters; ``all_pairs`` also has the pairs that did not play.
 
     ``fixtures`` has home, away and goals; ``teams`` has team, attack, defence. A
     pair matters to the model only where a score was observed, so the pairs come
@@ -186,3 +217,35 @@ def ordered_pairs(fixtures: DataFrame, teams: DataFrame) -> DataFrame:
         )
 
     return played.join(as_side("home"), "home").join(as_side("away"), "away")
+
+
+def all_pairs(teams: DataFrame, fixtures: DataFrame, blocks: int | None = None, most: int = 10**11) -> DataFrame:
+    """Every ordered pair of different teams with both teams' parameters, and the goals of each of their fixtures.
+
+    ``teams`` has team, attack, defence; ``fixtures`` has home, away and goals. A pair that did not play is one row
+    with null goals. Teams are dealt to ``blocks`` row and column blocks by a hash; a team goes to its row block once
+    for each column block, and the other way round, and sides meet where both blocks agree: an equi-join of
+    ``blocks`` squared cells of even size. A shuffle carries 2 x ``blocks`` copies of each team, not the pairs. The
+    result has n (n - 1) rows; above ``most`` an error says so. Null teams are left out; a team listed twice pairs
+    twice. Without ``blocks``, there are as many cells as shuffle partitions, or more so that each has some million
+    pairs.
+    """
+    spark = teams.sparkSession
+    sides = teams.filter(F.col("team").isNotNull()).select("team", "attack", "defence")
+    n = sides.count()
+    if n * (n - 1) > most:
+        raise ValueError(f"{n} teams make {n * (n - 1)} pairs, more than {most}")
+    if blocks is None:
+        cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * n // 4_000_000)
+        blocks = max(1, min(math.isqrt(cells), n))
+    own = F.pmod(F.xxhash64("team"), F.lit(blocks))
+    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    def as_side(s: str, row: Column, column: Column) -> DataFrame:
+        kept = sides.select(F.col("team").alias(s), F.col("attack").alias(f"{s}_attack"), F.col("defence").alias(f"{s}_defence"), own.alias("_own"))
+        return kept.withColumn("_other", others).select(s, f"{s}_attack", f"{s}_defence", row.alias("_row"), column.alias("_column"))
+
+    homes = as_side("home", F.col("_own"), F.col("_other").cast("bigint"))
+    aways = as_side("away", F.col("_other").cast("bigint"), F.col("_own"))
+    met = homes.join(aways.hint("shuffle_hash"), ["_row", "_column"]).filter(F.col("home") != F.col("away")).drop("_row", "_column")
+    return met.join(fixtures.select("home", "away", "goals"), ["home", "away"], "left")

@@ -61,6 +61,46 @@ def test_frames_differ_counts_repeats(spark):
     assert ops.frames_differ(a, a.select(F.col("x").cast("bigint")))
 
 
+NESTED = "a int, m map<string,array<double>>, l array<string>, s struct<x:int,y:map<int,string>>"
+
+
+def test_fingerprints_are_of_rows_and_not_of_their_order(spark):
+    rows = [
+        (1, {"p": [1.0, None], "q": None}, [None, "x"], (1, {1: "a", 2: "b"})),
+        (1, {"p": [1.0, None], "q": None}, [None, "x"], (1, {1: "a", 2: "b"})),
+        (None, {}, [], (None, None)),
+        (None, None, None, None),
+        (3, {"p": [0.0]}, ["x", None], (2, {})),
+    ]
+    turned = [(a, m and dict(reversed(m.items())), x, s and (s[0], s[1] and dict(reversed(s[1].items())))) for a, m, x, s in reversed(rows)]
+    a, b = spark.createDataFrame(rows, NESTED), spark.createDataFrame(turned, NESTED).repartition(4)
+    assert not ops.frames_differ(a, b.select("s", "l", "m", "a"))
+    assert ops.frame_difference(a, b).isEmpty()
+    changes = [
+        (1, None, (1, {"p": [None, 1.0], "q": None}, [None, "x"], (1, {1: "a", 2: "b"}))),
+        (2, None, (None, {}, [], None)),
+        (2, None, (None, None, [], (None, None))),
+        (2, None, (None, {}, None, (None, None))),
+        (4, None, (3, {"p": [0.0]}, [None, "x"], (2, {}))),
+        (4, None, (3, {"p": [0.0]}, ["x", None], (2, None))),
+        (0, None, rows[4]),
+    ]
+    for place, _, row in changes:
+        other = spark.createDataFrame([*rows[:place], row, *rows[place + 1 :]], NESTED)
+        assert ops.frames_differ(a, other), row
+        assert {r.surplus for r in ops.frame_difference(a, other).collect()} == {1, -1}
+    assert not ops.frames_differ(spark.sql("select -0.0D x"), spark.sql("select 0.0D x"))
+    assert not ops.frames_differ(a.where("false"), b.where("false")) and ops.frames_differ(a, a.where("false"))
+
+
+def test_fingerprints_shuffle_no_rows(spark):
+    df = spark.range(1000).selectExpr("id AS x", "id * 2 AS y")
+    plan = ops.fingerprints(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange SinglePartition" in plan
+    by_key = {r.y: r.rows for r in ops.fingerprints(df.withColumn("y", F.col("x") % 3), ["y"]).collect()}
+    assert by_key == {0: 334, 1: 333, 2: 333}
+
+
 def test_sentinels(spark):
     df = spark.createDataFrame([("NA_character_", 1), ("a NA_character_", 2), (None, 3)], "s string, n int")
     assert [r.s for r in ops.clean_sentinels(df).collect()] == ["", "a NA_character_", None]

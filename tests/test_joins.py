@@ -85,6 +85,45 @@ def test_completeness_grid(spark):
     assert ops.completeness_grid(many, ["x", "y"]).filter("present").count() == 20_000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grid_of_a_large_dimension(spark):
+    many = spark.range(1_000_000).selectExpr("id AS x", "CASE WHEN id % 2 = 0 THEN 'even' WHEN id < 9 THEN 'odd' END AS y")
+    grid = ops.completeness_grid(many, ["x", "y"])
+    assert "SinglePartition" not in plan_of(grid) and "collect" not in plan_of(grid) and "Cartesian" not in plan_of(grid)
+    assert {(r.y, r.present): r["count"] for r in grid.groupBy("y", "present").count().collect()} == {
+        ("even", True): 500_000,
+        ("even", False): 500_000,
+        ("odd", True): 4,
+        ("odd", False): 999_996,
+    }
+    with pytest.raises(ValueError, match="2000000 cells, more than 1000: x 1000000, y 2"):
+        ops.completeness_grid(many, ["x", "y"], most=1000)
+    assert ops.completeness_grid(many.where("false"), ["x", "y"]).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [None, 1, 3, 50])
+def test_all_pairs(spark, blocks):
+    teams = spark.createDataFrame([(t, t / 10, -t / 10) for t in range(17)] + [(None, 0.0, 0.0)], "team long, attack double, defence double")
+    fixtures = spark.createDataFrame([(1, 2, 3), (1, 2, 4), (2, 1, 0), (5, 5, 9), (1, 99, 1), (3, 4, None)], "home long, away long, goals int")
+    found = sorted((tuple(r) for r in ops.all_pairs(teams, fixtures, blocks).collect()), key=repr)
+    played = {(1, 2): [3, 4], (2, 1): [0]}
+    wanted = [(h, a, h / 10, -h / 10, a / 10, -a / 10, g) for h in range(17) for a in range(17) if h != a for g in played.get((h, a), [None])]
+    assert found == sorted(wanted, key=repr)
+
+
+def test_all_pairs_meet_in_blocks(spark):
+    teams = spark.range(2000).selectExpr("id AS team", "0.0D AS attack", "0.0D AS defence")
+    pairs = ops.all_pairs(teams, spark.createDataFrame([], "home long, away long, goals int"))
+    assert "Cartesian" not in plan_of(pairs) and "NestedLoop" not in plan_of(pairs)
+    assert pairs.count() == 2000 * 1999
+    with pytest.raises(ValueError, match="more than 100"):
+        ops.all_pairs(teams, pairs.select("home", "away", "goals"), most=100)
+    assert ops.all_pairs(teams.where("false"), pairs.select("home", "away", "goals")).count() == 0
+
+
 def test_attach_league_keeps_unmatched_rows(spark):
     stats = urls(spark, "a/file", "z/file").withColumn("Tier", F.lit("own"))
     matches = results(spark).select("MatchURL", "Country", "Tier", "Gender").filter("MatchURL IS NOT NULL")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.analogs import RESULTS
 from checks.registry import check, load, run
 from matchloom.session import work_folder
-from matchloom.sources import files, tables
+from matchloom.sources import files, tables, versions
 from matchloom.streaming.increments import ingest_increment, read_increments
 
 KEYS = ["l_orderkey", "l_partkey", "l_linenumber"]
@@ -215,6 +215,38 @@ def upsert(spark, d):
     )
 
 
+@check(
+    "S9_upsert_version",
+    """SELECT 3 AS version, MatchKey, Country, Gender, Tier, Notes, MatchURL, Season_End_Year FROM
+    (SELECT DISTINCT MatchKey, 'NATION_3' AS Country, 'F' AS Gender, '1' AS Tier,
+        CASE WHEN Notes = 'NA_character_' THEN '' ELSE Notes END AS Notes, Game_URL AS MatchURL,
+        CASE WHEN month(Match_Date) <= 6 THEN year(Match_Date) ELSE year(Match_Date) + 1 END AS Season_End_Year
+        FROM stored WHERE Country = 'NATION_3' UNION ALL
+     SELECT DISTINCT MatchKey, 'OTHER', 'M', '2', CASE WHEN Notes = 'NA_character_' THEN '' ELSE Notes END, Game_URL,
+        CASE WHEN month(Match_Date) <= 6 THEN year(Match_Date) ELSE year(Match_Date) + 1 END FROM stored
+        WHERE Country = 'OTHER') UNION ALL
+    SELECT 2, MatchKey, 'NATION_3', 'F', '1', CASE WHEN Notes = 'NA_character_' THEN '' ELSE Notes END, Game_URL,
+    CASE WHEN month(Match_Date) <= 6 THEN year(Match_Date) ELSE year(Match_Date) + 1 END FROM stored
+    WHERE Country = 'NATION_3' AND Tier = '1' UNION ALL
+    SELECT 2, MatchKey, 'OTHER', 'M', '2', CASE WHEN Notes = 'NA_character_' THEN '' ELSE Notes END, Game_URL,
+    CASE WHEN month(Match_Date) <= 6 THEN year(Match_Date) ELSE year(Match_Date) + 1 END FROM stored
+    WHERE Country = 'OTHER'""",
+    results=RESULTS,
+    stored=UPSERT,
+)
+def upsert_version(spark, d):
+    path = work_folder(spark, "versions")
+    rows = run(spark, d, UPSERT, results=run(spark, d, RESULTS))
+    own = rows.filter("Country = 'NATION_3'")
+    versions.upsert_version(spark, path, own.filter("Tier = '1'"), "NATION_3", "F", "1")
+    versions.upsert_version(spark, path, rows.filter("Country = 'OTHER'"), "OTHER", "M", "2")
+    before = versions.read_version(spark, path)  # stays as it is, whatever is published later
+    versions.upsert_version(spark, path, own, "NATION_3", "F", "1")
+    names = ["MatchKey", "Country", "Gender", "Tier", "Notes", "MatchURL", "Season_End_Year"]
+    now = versions.read_version(spark, path).select(F.lit(3).alias("version"), *names)
+    return now.unionAll(before.select(F.lit(2), *names))
+
+
 @check(
     "S10_read_cached_slice",
     """SELECT 'season' AS by, MatchKey FROM results WHERE Season_End_Year = 1999 UNION ALL

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.session import work_folder
-from matchloom.sources import files, tables
+from matchloom.sources import files, tables, versions
+from matchloom.streaming import increments
 from matchloom.streaming.increments import ingest_increment, read_increments
 
 
@@ -115,6 +116,31 @@ def test_increments_append_once(spark, folder, tmp_path):
     assert [r.Extra for r in rows.filter("batch = 2").collect()] == ["1"]
 
 
+def test_many_small_files_come_in_several_batches(spark, tmp_path, monkeypatch):
+    stage, base, state = (str(tmp_path / n) for n in ("stage", "base", "state"))
+    os.makedirs(stage)
+    for i in range(10_000):
+        with open(f"{stage}/f{i:05d}.csv", "w") as f:
+            f.write(f"id,{'odd' if i % 2 else 'even'}\n{i},x\n")
+    seen, whole = [], increments.read_csv_union
+
+    def breaks_once(session, paths, glob):
+        seen.append(len(paths))
+        if len(seen) == 3:
+            raise OSError("the second batch breaks off after its first slice")
+        return whole(session, paths, glob)
+
+    monkeypatch.setattr(increments, "read_csv_union", breaks_once)
+    # files of 11 or 12 bytes: about 3,000 in a slice
+    with pytest.raises(Exception, match="breaks off"):
+        ingest_increment(spark, stage, base, state, max_bytes=40_000)
+    ingest_increment(spark, stage, base, state, max_bytes=40_000)
+    rows = read_increments(spark, base)
+    assert max(seen) <= 4000 and len(seen) >= 6
+    assert {r.batch: r["count"] for r in rows.groupBy("batch").count().collect()} == {1: 4000, 2: 4000, 3: 2000}
+    assert rows.select("id").distinct().count() == rows.count() == 10_000
+
+
 def test_late_files_are_appended(spark, folder, tmp_path):
     base, state = str(tmp_path / "base"), str(tmp_path / "state")
     ingest_increment(spark, folder, base, state)
@@ -190,6 +216,57 @@ def test_upsert_rewrites_one_league(spark):
     assert spark.read.parquet(f"{path}/Country=GER").count() == 1
 
 
+def league(spark, country, *ids):
+    return spark.createDataFrame([(i, country, "M", "1st") for i in ids], "id int, Country string, Gender string, Tier string")
+
+
+def ids_of(df):
+    return sorted(r.id for r in df.collect()) if df is not None else None
+
+
+def test_versions_are_published_whole(spark, monkeypatch):
+    path = work_folder(spark, "versions")
+    assert versions.read_version(spark, path) is None and versions.newest_version(spark, path) == 0
+    versions.upsert_version(spark, path, league(spark, "ENG", 1, 2), "ENG", "M", "1st")
+    versions.upsert_version(spark, path, league(spark, "GER", 3).withColumn("extra", F.lit("e")), "GER", "M", "1st")
+    open_frame = versions.read_version(spark, path)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    publish = versions._publish
+    monkeypatch.setattr(versions, "_publish", killed)
+    with pytest.raises(KeyboardInterrupt):
+        versions.upsert_version(spark, path, league(spark, "ENG", 4), "ENG", "M", "1st")
+    monkeypatch.setattr(versions, "_publish", publish)
+    assert versions.newest_version(spark, path) == 2 and ids_of(versions.read_version(spark, path)) == [1, 2, 3]
+    # the run is repeated; what was read before stays
+    refused = versions.upsert_version(spark, path, league(spark, "ENG", 4).unionAll(league(spark, "GER", 9)), "ENG", "M", "1st")
+    assert ids_of(refused) == [9]
+    assert ids_of(versions.read_version(spark, path)) == [1, 2, 3, 4] and ids_of(open_frame) == [1, 2, 3]
+    assert ids_of(versions.read_version(spark, path, [("GER", "M", "1st")])) == [3]
+    assert ids_of(versions.read_version(spark, path, version=1)) == [1, 2]
+    assert versions.read_version(spark, path, [("ITA", "M", "1st")]) is None
+    with pytest.raises(ValueError, match="no version 9"):
+        versions.read_version(spark, path, version=9)
+    # the folder of the killed run and that of the first version of the league
+    assert versions.remove_unnamed(spark, path, keep=1, hours=24) == 0
+    assert versions.remove_unnamed(spark, path, keep=1, hours=-1) == 2
+    assert ids_of(versions.read_version(spark, path)) == [1, 2, 3, 4]
+
+
+def test_versions_of_two_writers(spark):
+    path = work_folder(spark, "versions")
+    first, second = ("ENG", "M", "1st"), ("GER", "M", "1st")
+    assert versions.replace_parts(spark, path, {first: league(spark, "ENG", 1)}, 0) == 1
+    # made from version 0 too, but of another league: both count
+    assert versions.replace_parts(spark, path, {second: league(spark, "GER", 2)}, 0) == 2
+    with pytest.raises(versions.VersionConflict, match="ENG"):
+        versions.replace_parts(spark, path, {first: league(spark, "ENG", 3)}, 0)
+    assert ids_of(versions.read_version(spark, path)) == [1, 2]
+    assert not versions._publish(spark, path, 2, {}) and ids_of(versions.read_version(spark, path)) == [1, 2]
+
+
 def test_cached_slices(spark):
     df = spark.createDataFrame([(2020, "https://x/2019-2020/s")], "Season_End_Year int, url string")
     assert tables.read_cached_slice(df, 2020).count() == 1

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from checks.analogs import RESULTS, SUMMARY_KEYS, WAGES
 from checks.registry import check, load, run
 from matchloom.operators import aggregates as ops
+from matchloom.session import work_folder
+from matchloom.streaming import profiles
 
 STATS = """SELECT l_orderkey, l_suppkey, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS num,
     CASE WHEN l_tax > 0.04 THEN NULL ELSE l_quantity END AS Gls, l_returnflag AS Pos, l_discount AS xG
@@ -56,6 +58,27 @@ def null_profile(spark, d):
     return ops.null_profile(rows, ["Country", "Gender", "Tier"])
 
 
+@check(
+    "A4_profile_of_batches",
+    """SELECT Country, Gender, Tier, count(*) AS rows, round(avg(CASE WHEN MatchURL IS NULL THEN 1 ELSE 0 END), 6) AS MatchURL,
+    round(avg(CASE WHEN Notes IS NULL OR month(Date) > 8 THEN 1 ELSE 0 END), 6) AS Notes,
+    round(avg(CASE WHEN Date IS NULL THEN 1 ELSE 0 END), 6) AS Date FROM results GROUP BY Country, Gender, Tier""",
+    results=RESULTS,
+)
+def profile_of_batches(spark, d):
+    rows = run(spark, d, RESULTS).select("Country", "Gender", "Tier", "MatchURL", "Notes", "Date")
+    base, state = work_folder(spark, "batches"), work_folder(spark, "profile")
+    month = F.coalesce(F.month("Date"), F.lit(1))
+    # the last batch does not have one of the columns
+    batches = [rows.filter(month <= 4), rows.filter((month > 4) & (month <= 8)), rows.filter(month > 8).drop("Notes")]
+    for n, batch in enumerate(batches, 1):
+        batch.write.parquet(f"{base}/batch={n:04d}")
+        if profiles.update_profile(spark, base, state, ["Country", "Gender", "Tier"], "MatchURL") != [n]:
+            raise ValueError("an old batch was read again")
+    found = profiles.read_profile(spark, state, ["Country", "Gender", "Tier"])
+    return found.select("Country", "Gender", "Tier", "rows", *[F.round(c, 6).alias(c) for c in ("MatchURL", "Notes", "Date")])
+
+
 @check(
     "A5_null_profile_summary",
     """SELECT Country, Gender, Tier, round(min(share), 6) AS Min, round(max(share), 6) AS Max,

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,12 +127,17 @@ def name_pattern(pattern: str) -> tuple[str, list[str]]:
     return f"(?:^|/){regex}$", parts[1::2]
 
 
-def with_file_keys(df: DataFrame, pattern: str, path: str = SOURCE) -> DataFrame:
+def with_file_keys(df: DataFrame, pattern: str, path: str = SOURCE, observation: Observation | None = None) -> DataFrame:
     """Add the fields of a path pattern as columns; a column that exists only has its nulls filled.
 
-    A path that does not fit the pattern gives nulls.
+    A path that does not fit the pattern gives nulls. With an ``observation`` the rows and (estimated) the paths that
+    do not fit are counted while the result is computed, as ``unfit_rows`` and ``unfit_paths``.
     """
     regex, fields = name_pattern(pattern)
+    if observation is not None:
+        unfit = ~F.coalesce(quoted(path).rlike(regex), F.lit(False))
+        paths = F.approx_count_distinct(F.when(unfit, F.coalesce(quoted(path), F.lit(""))))
+        df = df.observe(observation, F.count_if(unfit).alias("unfit_rows"), paths.alias("unfit_paths"))
     derived = {
         f: F.when(quoted(path).rlike(regex), F.regexp_extract(quoted(path), regex, i + 1))
         for i, f in enumerate(fields)

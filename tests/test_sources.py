@@ -5,11 +5,12 @@ import os
 import time
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from matchloom.session import work_folder
 from matchloom.sources import files, tables, versions
-from matchloom.streaming import increments
+from matchloom.streaming import increments, profiles
 from matchloom.streaming.increments import ingest_increment, read_increments
 
 
@@ -141,6 +142,31 @@ def test_many_small_files_come_in_several_batches(spark, tmp_path, monkeypatch):
     assert rows.select("id").distinct().count() == rows.count() == 10_000
 
 
+def test_paths_that_do_not_fit_are_counted(spark):
+    paths = ["a/ENG_M_1st_x.csv", "a/ENG_M_1st_x.csv", "a/ENG-M.csv", "a/ENG-M.csv", "b/other.csv", None]
+    df, seen = spark.createDataFrame([(p,) for p in paths], "source_file string"), Observation()
+    rows = files.with_file_keys(df, "{Country}_{Gender}_{Tier}_*.csv", observation=seen).collect()
+    assert [r.Country for r in rows].count("ENG") == 2 and seen.get == {"unfit_rows": 4, "unfit_paths": 3}
+
+
+def test_profile_reads_new_batches_only(spark, tmp_path):
+    base, state = str(tmp_path / "base"), str(tmp_path / "state")
+    assert profiles.update_profile(spark, base, state, ["k"], "id") == []
+    parts = [spark.range(a, b).selectExpr("id % 2 AS k", "id", "CASE WHEN id % 3 = 0 THEN id END AS v") for a, b in ((0, 4000), (2000, 6000), (0, 10))]
+    for n, df in enumerate(parts, 1):
+        (df.withColumn("w", F.lit(1)) if n == 3 else df).write.parquet(f"{base}/batch={n:04d}")
+        assert profiles.update_profile(spark, base, state, ["k"], "id") == [n]
+        # what is counted is not read again
+        (tmp_path / "base" / f"batch={n:04d}").rename(tmp_path / f"away{n}")
+        (tmp_path / "base" / f"batch={n:04d}").mkdir()
+    assert profiles.update_profile(spark, base, state, ["k"], "id") == []
+    whole = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    wanted = {r.k: (r.n, r.v) for r in whole.groupBy("k").agg(F.count("*").alias("n"), F.avg(F.col("v").isNull().cast("int")).alias("v")).collect()}
+    for r in profiles.read_profile(spark, state, ["k"]).collect():
+        assert (r.rows, r.v) == (wanted[r.k][0], pytest.approx(wanted[r.k][1])) and r.w == pytest.approx(1 - 5 / r.rows)
+        assert r.distinct_values == pytest.approx(3000, rel=0.1) and r.id == 0
+
+
 def test_late_files_are_appended(spark, folder, tmp_path):
     base, state = str(tmp_path / "base"), str(tmp_path / "state")
     ingest_increment(spark, folder, base, state)

@@ -16,8 +16,8 @@ BUCKETS = 1 << 17
 DIMENSIONS = 4
 #: Labelled documents for fitting, for each label; the only bound on what is read.
 PER_CLASS = 4_000
-#: Subwords in fewer of the sample's documents keep the weight zero: they could only be learned by heart.
-MIN_DOCUMENTS = 8
+#: A subword in d of the sample's documents counts d / (d + SHRINK) times: the rarer, the nearer to no weight, but never none.
+SHRINK = 8.0
 EPOCHS = 8
 BATCH = 128
 #: A small sample is gone over more often, until there were so many steps.
@@ -78,8 +78,8 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) + self.bias, -30, 30)))
 
 
-def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct buckets of each text with their share of its subwords, and where each text starts."""
+def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct buckets of each text with their shrunken share of its subwords, where each text starts, and each bucket's factor."""
     import pyarrow as pa
 
     ids, shares, sizes = [], [], []
@@ -92,30 +92,24 @@ def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids.append((key % BUCKETS).astype(np.int32))
         shares.append((count / whole[own]).astype(np.float32))
         sizes.append(np.bincount(own, minlength=batch.num_rows))
-    documents = np.zeros(BUCKETS, dtype=np.int64)
-    for part in ids:
-        documents += np.bincount(part, minlength=BUCKETS)
-    often = documents >= min(MIN_DOCUMENTS, len(texts) // 20)
-    left = []
-    for k, (part, lengths) in enumerate(zip(ids, sizes, strict=True)):
-        keep = often[part]
-        own = np.repeat(np.arange(len(lengths)), lengths)[keep]
-        left.append(np.bincount(own, minlength=len(lengths)))
-        ids[k], shares[k] = part[keep], shares[k][keep]
-    starts = np.concatenate(([0], np.cumsum(np.concatenate(left))))
-    return np.concatenate(ids), np.concatenate(shares), starts
+    starts = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    ids, shares = np.concatenate(ids), np.concatenate(shares)
+    documents = np.bincount(ids, minlength=BUCKETS)
+    scale = (documents / (documents + SHRINK)).astype(np.float32)
+    return ids, shares * scale[ids], starts, scale
 
 
 def fit(sample: list[tuple[str, int]], share: float, seed: int = 3) -> ToxicityModel:
     """Train embeddings and softmax together on (text, label); ``share`` is that of label 1 among all labels.
 
-    Where a class is missing the score is the share.
+    Where a class is missing the score is the share. Every subword of the sample has a weight, shrunk by how few
+    documents hold it. The sample is gone over ``EPOCHS`` times, a small one as often as makes ``MIN_STEPS`` steps.
     """
     y = np.array([v for _, v in sample], dtype=np.int64)
     odds = float(np.log(share / (1 - share)))
     if not 0 < y.sum() < len(y):
         return ToxicityModel(np.zeros(BUCKETS, np.float32), odds)
-    ids, shares, starts = _bags([t for t, _ in sample])
+    ids, shares, starts, scale = _bags([t for t, _ in sample])
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     w = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
@@ -151,7 +145,7 @@ def fit(sample: list[tuple[str, int]], share: float, seed: int = 3) -> ToxicityM
             b -= rate * 0.2 * db / np.sqrt(b2)
     weights = np.zeros(BUCKETS, dtype=np.float32)
     known = np.unique(ids)
-    weights[known] = GAIN * (e[known] @ (w[:, 1] - w[:, 0]))
+    weights[known] = GAIN * scale[known] * (e[known] @ (w[:, 1] - w[:, 0]))
     balance = float(np.log(y.sum() / (len(y) - y.sum())))
     return ToxicityModel(weights, float(b[1] - b[0]) + odds - balance)
 

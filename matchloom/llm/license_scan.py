@@ -37,11 +37,16 @@ NOTICES = {
 TAG = "spdx license identifier"
 # licences that a tag's expression may choose freely; "with" an exception keeps the licence's standing
 FREE = ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "cc0-1.0", "unlicense", "cc-by-4.0", "zlib", "bsl-1.0", "mpl-2.0")
-# the share of doubt that each label leaves
-DOUBT = {"notice": 0.7, "reserved": 0.5}
+#: what the evaluation of a tag's expression adds: free licences meet it, they do not, or it does not parse
+FREE_TAG, BOUND_TAG, BAD_TAG = "tag-free", "tag-restricted", "tag-malformed"
+# the share of doubt that each label leaves, others leave 0.2; licences that only restricted tags name leave BOUND_DOUBT
+DOUBT = {"notice": 0.7, "reserved": 0.5, FREE_TAG: 0.5, BOUND_TAG: 0.8, BAD_TAG: 0.9}
+BOUND_DOUBT = 0.7
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _EXPRESSION = re.compile(rb"spdx-license-identifier:[\x20\t]*([^\n]*)")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
+_NEXT = re.compile(r"[\x20\t]*([()]|[a-z0-9][a-z0-9.+:-]*)")
+_COMMENT_END = re.compile(r"\*/|--+!?>")
 _TO_WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
@@ -83,6 +88,27 @@ def postfix(expression: str) -> list[str] | None:
     return out + held[::-1]
 
 
+def leading_expression(said: str) -> str:
+    """The start of a tag's line that can be read as an expression: up to a comment's end or a token that cannot follow."""
+    said = _COMMENT_END.split(said, maxsplit=1)[0]
+    end, operand, open_ = 0, True, 0
+    while m := _NEXT.match(said, end):
+        token = m[1]
+        if operand:
+            if token == ")" or token in PRECEDENCE:
+                break
+            open_ += token == "("
+            operand = token == "("
+        elif token in PRECEDENCE:
+            operand = True
+        elif token == ")" and open_:
+            open_ -= 1
+        else:
+            break
+        end = m.end()
+    return said[:end].strip()
+
+
 def evaluate(order: list[str], free=FREE) -> tuple[bool, list[str]]:
     """Whether a postfix expression can be met by free licences alone, and all licences that it names."""
     stack: list[tuple[bool, list[str]]] = []
@@ -114,26 +140,31 @@ def scan(text: str | None, automaton) -> dict:
     # one byte is one character here, so places in the string are places in the bytes
     normal = b" ".join([b"", *words, b""])
     places, base, every = [], set(), set()
-    tag = False
+    tag, at, word = False, 0, 0  # ``word`` blanks lie before place ``at``: each is counted once
     for end, (size, is_base, label) in automaton.iter(normal.decode("latin-1")):
         if label == "tag":
             tag = True
             continue
         if is_base:
-            places.append(normal.count(b" ", 0, end - size + 1))
+            start = end - size + 1
+            word += normal.count(b" ", at, start) if start >= at else -normal.count(b" ", start, at)
+            at = start
+            places.append(word)
             base.add(label)
         every.add(label)
-    expressions = []
+    expressions, bound = [], set()
     if tag:
         for m in _EXPRESSION.finditer(raw.translate(_LOWER)):
-            said = m[1].decode(errors="replace").strip().strip("*/# ->")
+            said = leading_expression(m[1].decode(errors="replace"))
             order = postfix(said)
             ok, names = evaluate(order) if order else (False, [])
             expressions.append({"expression": said, "valid": order is not None, "free": ok, "licenses": names})
-            every.update(names)
-    doubt = 1.0
+            (every if ok else bound).update(names)
+            every.add(BAD_TAG if order is None else FREE_TAG if ok else BOUND_TAG)
+    doubt = BOUND_DOUBT ** len(bound - every)
     for label in every:
         doubt *= DOUBT.get(label, 0.2)
+    every |= bound
     return {
         "n_words": len(words),
         "n_base": len(places),
@@ -151,9 +182,11 @@ def license_scan(docs: DataFrame) -> DataFrame:
 
     ``doc_id``, ``n_words``, ``n_base`` (all places of base phrases), ``first_word`` and ``last_word`` (their
     smallest and largest start; null without one), ``base_labels``, ``labels`` (with those of notices and of
-    the licences that tags name; sorted, joined by commas), ``score`` (0 without a label, nearer to 1 the more
-    labels agree) and ``expressions`` (what each tag says, whether it parses and whether free licences meet
-    it). Null and empty texts have no word and score 0. Documents are scanned one by one, without a shuffle;
+    the licences that tags name, and ``tag-free``, ``tag-restricted`` or ``tag-malformed`` for what a tag's expression
+    comes to; sorted, joined by commas), ``score`` (0 without a label, nearer to 1 the more labels agree; licences that
+    only restricted or malformed tags name count less) and ``expressions`` (what each tag says up to the end of its
+    comment or the first token that cannot follow, whether it parses and whether free licences meet it). Work grows
+    with the text, however often a phrase stands in it. Null and empty texts have no word and score 0. Documents are scanned one by one, without a shuffle;
     repeated rows are scanned each; other columns are not read.
     """
     import pyarrow as pa

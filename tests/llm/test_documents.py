@@ -2,11 +2,14 @@
 
 import functools
 import random
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -141,6 +144,61 @@ def test_license_scan(spark, awkward):
     assert license_scan.license_scan(awkward).count() == awkward.count()
 
 
+def brute_licenses(text):
+    """Words, starts of base phrases and labels of phrases, by looking for every phrase at every word."""
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = regex.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    found = {}
+    for phrase, label in [*license_scan.BASE.items(), *license_scan.NOTICES.items()]:
+        parts = phrase.split()
+        found[phrase] = (label, [i for i in range(len(words) - len(parts) + 1) if words[i : i + len(parts)] == parts])
+    starts = [i for phrase in license_scan.BASE for i in found[phrase][1]]
+    base = {label for phrase, label in license_scan.BASE.items() if found[phrase][1]}
+    labels = {label for label, at in found.values() if at}
+    return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base))), labels
+
+
+@pytest.mark.parametrize("table", ["documents", "awkward"])
+def test_license_places_and_labels(spark, awkward, table):
+    rows = awkward if table == "awkward" else spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = rows.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-1, "All rights reserved, cc by sa! general public license cc-by cc by"), (-2, "mit licence; ALL\nRIGHTS reserved")], "doc_id long, text string")
+    )
+    found = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan.license_scan(rows).collect())
+    assert found == Counter((r.doc_id, *brute_licenses(r.text)[0]) for r in rows.collect())
+    automaton = license_scan._automaton()
+    for r in rows.collect():
+        own = {x for x in license_scan.scan(r.text, automaton)["labels"].split(",") if x}
+        assert brute_licenses(r.text)[1] <= own
+        if "spdx" not in (r.text or "").lower():
+            assert brute_licenses(r.text)[1] == own
+
+
+def test_license_scan_of_a_text_full_of_phrases():
+    started = time.time()
+    found = license_scan.scan("cc by text " * 300_000, license_scan._automaton())
+    assert (found["n_base"], found["first_word"], found["last_word"]) == (300_000, 0, 899_997)
+    assert time.time() - started < 10
+
+
+@pytest.mark.parametrize(
+    ("text", "label", "names"),
+    [
+        ("/* SPDX-License-Identifier: MIT */ int main() {}", "tag-free", ["mit"]),
+        ("<!-- SPDX-License-Identifier: MIT --> <p>and more", "tag-free", ["mit"]),
+        ("# SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0; x", "tag-restricted", ["gpl-2.0"]),
+        ("SPDX-License-Identifier: Proprietary-X", "tag-restricted", ["proprietary-x"]),
+        ("SPDX-License-Identifier: (MIT OR GPL-2.0", "tag-malformed", []),
+        ("SPDX-License-Identifier: ", "tag-malformed", []),
+    ],
+)
+def test_license_tags(text, label, names):
+    found = license_scan.scan(text, license_scan._automaton())
+    assert label in found["labels"].split(",") and found["expressions"][0]["licenses"] == names
+    free = license_scan.scan("SPDX-License-Identifier: MIT", license_scan._automaton())["score"]
+    assert found["score"] == free if label == "tag-free" else 0 < found["score"] < free
+
+
 @pytest.mark.parametrize(
     ("said", "free"),
     [
@@ -177,6 +235,16 @@ def test_held_out_labels(spark, model, label, least, floor):
     assert np.mean([(s >= least) == t for s, t in held]) >= floor
 
 
+def test_rare_subwords_have_a_weight():
+    """A misspelling that one labelled text holds moves the score, by less than a frequent one."""
+    rng = random.Random(5)
+    plain = [" ".join(rng.choice(["red", "blue", "green", "stone", "river", "cloud"]) for _ in range(20)) for _ in range(200)]
+    sample = [(t + (" vilest" if i < 60 else " zwqk" if i == 60 else ""), int(i <= 60)) for i, t in enumerate(plain)]
+    model = toxicity.fit(sample, 0.3)
+    often, rare, none = model.scores(pa.array([f"red river {w}" for w in ("vilest", "zwqk", "stone")]))
+    assert often > rare > none
+
+
 @pytest.mark.parametrize("model", [quality_classifier, toxicity])
 def test_classifiers_on_awkward_tables(spark, awkward, model):
     labels = spark.createDataFrame([(6, 1, 1), (7, 0, 0), (8, 0, 0), (10, 1, 1), (None, 1, 1), (6, 0, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")

@@ -1,4 +1,4 @@
-"""Removing repeated word sequences by suffix trees over groups of suffixes that share a prefix."""
+"""Removing repeated word sequences: windows are grouped by a hash of words inside them, sorted and compared."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from matchloom.llm.common import pieces_of, small, stage, text_or_empty, with_row_key
 
 WINDOW = 35
-# A suffix of WINDOW words goes to a group by a prefix of variable length: up to the end of the ANCHOR words
-# that have the least hash in its window. Equal windows have equal anchors, so they meet in one group.
+# A window goes to a group by the hash of those ANCHOR consecutive words inside it that have the least hash.
+# Equal windows have equal anchors, so they meet in one group.
 ANCHOR = 12
-# suffixes of anchors with more places than this are grouped by the longest prefix, all WINDOW words
+# windows of anchors with more places than this are grouped by a digest of all their words
 MEMORY_ROWS = 2_000
 
 
@@ -126,11 +126,7 @@ def suffixes(words: bytes, n: int, window: int = WINDOW) -> list[bytes]:
 
 
 def deep_leaves(group: list[tuple[bytes, object]]) -> list[object]:
-    """The leaves below the inner nodes at the full depth of the tree of suffixes cut at that depth.
-
-    The sorted suffixes are the tree's leaves in order; neighbours whose common prefix is the whole depth hang
-    below one inner node, which is a repeat.
-    """
+    """The windows of a group that are equal to another one: they are sorted, and equal neighbours are repeats."""
     group.sort(key=lambda x: x[0])
     found = []
     for _, leaves in groupby(group, key=lambda x: x[0]):
@@ -191,9 +187,9 @@ def _repeats_in_groups(contexts: DataFrame) -> DataFrame:
 
 
 def _repeats_of_long_prefixes(contexts: DataFrame) -> DataFrame:
-    """The same for anchors with very many places: a suffix's group is named by a digest of all its words.
+    """The same for anchors with very many places: a window's group is named by a digest of all its words.
 
-    Such a group is a single deep node, so it need only be counted, which combines before the shuffle. Places
+    All windows of such a group are equal, so it need only be counted, which combines before the shuffle. Places
     whose whole text occurs again are repeats by that alone; only one of each such text is cut into suffixes.
     """
     import pyarrow as pa

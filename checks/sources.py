@@ -46,6 +46,22 @@ def read_csv_union(spark, d):
     return files.read_csv_union(spark, drifting_files(spark, d)).drop(files.SOURCE)
 
 
+@check(
+    "S1_read_with_catalogue",
+    """SELECT CAST(l_orderkey AS string) AS l_orderkey, CAST(l_partkey AS string) AS l_partkey,
+    CAST(l_linenumber AS string) AS l_linenumber,
+    CASE l_returnflag WHEN 'A' THEN CAST(l_quantity AS string) WHEN 'N' THEN
+    CAST(CAST(l_quantity AS bigint) AS string) END AS Gls,
+    CASE l_returnflag WHEN 'N' THEN CAST(l_tax AS string) WHEN 'R' THEN CAST(l_discount AS string) END AS xG_Expected,
+    CASE l_returnflag WHEN 'R' THEN 'say "R", then, ' || l_linestatus END AS Notes FROM lineitem""",
+)
+def read_with_catalogue(spark, d):
+    folder, catalogue = drifting_files(spark, d), work_folder(spark, "catalogue")
+    files.catalogued_headers(spark, folder, catalogue).count()
+    # the headers are known now: no file is opened for its own
+    return files.read_csv_union(spark, folder, catalogue=catalogue).drop(files.SOURCE)
+
+
 @check(
     "S2_read_typed_csv",
     """SELECT CAST(l_orderkey AS string) AS l_orderkey, CAST(l_partkey AS string) AS l_partkey,

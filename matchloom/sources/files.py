@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +59,32 @@ def read_headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*
     return files.mapInPandas(_read_headers, "path string, header string")
 
 
+def catalogued_headers(spark: SparkSession, paths: str | Sequence[str], catalogue: str, glob: str = "*.csv") -> DataFrame:
+    """The header line of each file, opening only files that ``catalogue`` does not know as they are now.
+
+    The catalogue is a folder of (path, length, modificationTime, header); the listing is compared with it, what is
+    missing is read and appended. A changed file has another length or time and is read again; entries of files
+    that are gone stay and are not returned. A run that breaks off before its append reads the same files again.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    known = ["path", "length", "modificationTime"]
+    listed = reader.load(paths).select(*known)
+    schema = "path string, length bigint, modificationTime timestamp, header string"
+    try:
+        stored = spark.read.schema(schema).parquet(catalogue)
+        new = listed.join(stored, known, "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        new = listed
+    new = materialize(new, "new-files")
+    if not new.isEmpty():
+        opened = new.select("path").repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(_read_headers, "path string, header string")
+        new.join(opened, "path").select(*known, "header").write.mode("append").parquet(catalogue)
+    # a file that two runs read at once stands there twice
+    return listed.join(spark.read.schema(schema).parquet(catalogue).distinct(), known).select("path", "header")
+
+
 def header_columns(header: str) -> list[str]:
     """Column names of a header line; a nameless column is called by its position."""
     names = next(csv.reader(io.StringIO(header)), [])
@@ -73,15 +100,19 @@ def _file_path():
     return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
 
 
-def read_csv_union(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
+def read_csv_union(
+    spark: SparkSession, paths: str | Sequence[str], glob: str = "*.csv", catalogue: str | None = None
+) -> DataFrame:
     """All CSV files of a folder as one frame of strings, unified by column name.
 
     Spark maps the columns of a folder by position in one header, so files are
     grouped by header and each group is read with its own. ``source_file`` holds
     the path. Where all files share a header the folder is read as it is; else
-    the paths of each header's files reach the driver, as they do in any listing.
+    the paths of each header's files reach the driver, as they do in any listing. With a ``catalogue`` folder the
+    headers of files that were read before are taken from it.
     """
-    found = materialize(read_headers(spark, paths, glob), "headers")
+    headed = read_headers(spark, paths, glob) if catalogue is None else catalogued_headers(spark, paths, catalogue, glob)
+    found = materialize(headed, "headers")
     headers = [r["header"] for r in found.select("header").distinct().orderBy("header").collect()]
     filled = [h for h in headers if h]
     if not filled:

@@ -44,6 +44,35 @@ def test_columns_go_by_name(spark, folder):
     }
 
 
+def test_known_files_are_not_opened_again(spark, folder, tmp_path, monkeypatch):
+    log, catalogue, first_line = str(tmp_path / "opened"), str(tmp_path / "catalogue"), files._first_line
+
+    def logged(path):
+        with open(log, "a") as f:
+            f.write(path.rsplit("/", 1)[1] + "\n")
+        return first_line(path)
+
+    def opened():
+        with open(log, "a+") as f:
+            f.seek(0)
+            names = sorted(f.read().split())
+            f.truncate(0)
+        return names
+
+    monkeypatch.setattr(files, "_first_line", logged)
+    plain = sorted(map(str, files.read_csv_union(spark, folder).collect()))
+    every = opened()
+    read = lambda: sorted(map(str, files.read_csv_union(spark, folder, catalogue=catalogue).collect()))
+    assert read() == plain and opened() == every
+    assert read() == plain and opened() == []
+    write(folder, "summary/late.csv", "Player,Extra\nDi,1\n")
+    assert len(read()) == len(plain) + 1 and opened() == ["late.csv"]
+    write(folder, "summary/late.csv", "Player,Other,Extra\nDi,2,1\nEd,3,4\n")
+    assert len(read()) == len(plain) + 2 and opened() == ["late.csv"]
+    os.remove(os.path.join(folder, "summary/late.csv"))
+    assert read() == plain and opened() == []
+
+
 def test_typed_columns(spark, folder):
     df = files.read_typed_csv(spark, folder, "summary")
     assert dict(df.dtypes)["Gls"] == "bigint" and dict(df.dtypes)["xG_Expected"] == "double"

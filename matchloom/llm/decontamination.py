@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,24 +19,26 @@ UNITS = (
 ).split()
 # keep these between digits; all other ASCII punctuation ends a token
 _PUNCTUATION = "\"#$%&'()*+-;<=>?@[\\]^_`{|}~!\t\r\x0b\f\x00\x01\x02"
-_NUMBER = r"(?<=\s)[0-9]\S*"
 # a capital and small letters, no name yet; a blank or hyphen between two of them joins them to one name
 _CAPITAL = r"\p{Lu}\p{Ll}"
-_INNER_RUN = rf"(?<![\p{{L}}\p{{N}}\ue000])({_CAPITAL}\p{{L}}*)(?:[ \t]+|-)(?={_CAPITAL})"
-_OPENING_RUN = rf"(\ue000{_CAPITAL}\p{{L}}*)(?:[ \t]+|-)(?={_CAPITAL})"
-NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+_RUN = rf"(?<![\p{{L}}\p{{N}}])({_CAPITAL}\p{{L}}*)(?:[ \t]+|-)(?={_CAPITAL})"
 OPENER, JOIN, _OPENING_JOIN = "\ue000", "\ue004", "\ue005"
+_START = rf"(^|[.!?:\n][\"')\]]*\s*)(?:({_CAPITAL}\p{{L}}*){JOIN}|(?=\p{{Lu}}))"
+_BETWEEN = rf"[{re.escape(_PUNCTUATION)}\n]+|(?<![0-9])[.,:/]+|[.,:/]+(?![0-9])"
+# codes of placeholders; the codes of words are hashes whose last two bits are unset
+NUMBER, NAME, UNIT = 4, 8, 12
+# last two bits of a code: a capital that opens a sentence, a name that such a capital joins
+_OPENS, _JOINED = 1, 2
 # whether a capital that opens a sentence makes a name; both ways are searched, as neither is always right
 FORMS = (False, True)
 
 
 def marked(text: Column) -> Column:
     """Tokens between blanks, runs of capitalised words joined; the first capital of a sentence has a mark before it."""
-    starts = F.regexp_replace(text, r"(^|[.!?:\n][\"')\]]*\s*)(?=\p{Lu})", "$1 \ue000")
-    runs = F.regexp_replace(F.regexp_replace(starts, _INNER_RUN, "$1" + JOIN), _OPENING_RUN, "$1" + _OPENING_JOIN)
-    apart = F.translate(runs, _PUNCTUATION, " " * len(_PUNCTUATION))
-    inner = F.regexp_replace(apart, r"(?<![0-9])[.,:/]+|[.,:/]+(?![0-9])|\n", " ")
-    return F.concat(F.lit(" "), inner, F.lit(" "))
+    runs = F.regexp_replace(text, _RUN, "$1" + JOIN)
+    starts = F.regexp_replace(runs, _START, f"$1 {OPENER}$2{_OPENING_JOIN}")
+    joined = F.replace(starts, F.lit(OPENER + _OPENING_JOIN), F.lit(OPENER))
+    return F.regexp_replace(joined, _BETWEEN, " ")
 
 
 def _in_form(marked_text: Column, openers: bool) -> Column:
@@ -42,16 +46,44 @@ def _in_form(marked_text: Column, openers: bool) -> Column:
     return F.replace(marked_text, F.lit(_OPENING_JOIN), F.lit(JOIN if openers else " "))
 
 
-def canonical(marked_text: Column, openers: bool) -> Column:
-    """The same tokens with numbers, names and the units after numbers replaced by typed placeholders.
+def token_codes(marked_text: Column) -> Column:
+    """One number for every token: typed placeholders for numbers, names and units after numbers, else a hash.
 
-    With ``openers`` a capitalised word that opens a sentence is a name as well, else it never is.
+    The last two bits tell the forms apart: ``_OPENS`` is a name in the form with openers only, and ``_JOINED`` is
+    in that form no token of its own, as the capital before it has taken it.
     """
-    numbers = F.regexp_replace(_in_form(marked_text, openers), _NUMBER, "\ue001")
-    names = F.regexp_replace(numbers, rf"(?<=\s){OPENER + '?' if openers else ''}{_CAPITAL}\S*", "\ue002")
-    lower = F.translate(F.lower(names), OPENER, "")
-    units = F.regexp_replace(lower, rf"(?<=\ue001\s)(?:{'|'.join(UNITS)})(?=\s)", "\ue003")
-    return F.replace(F.replace(F.replace(units, F.lit("\ue001"), F.lit(NUMBER)), F.lit("\ue002"), F.lit(NAME)), F.lit("\ue003"), F.lit(UNIT))
+    apart = F.replace(marked_text, F.lit(_OPENING_JOIN), F.lit(" " + _OPENING_JOIN))
+    number = lambda x: (x >= "0") & (x < ":")
+    word = lambda x: F.xxhash64(x).bitwiseAND(F.lit(~3))
+    long = lambda x: F.lit(x).cast("long")
+
+    def code(w, x, i):
+        lower = F.lower(x)
+        plain = F.when(lower.isin(UNITS) & number(F.get(w, i - 1)), long(UNIT)).otherwise(word(lower))
+        opener = word(F.replace(lower, F.lit(OPENER), F.lit("")))
+        return (
+            F.when((x >= "a") & (x < "{"), plain)
+            .when(number(x), long(NUMBER))
+            .when(x.startswith(OPENER), F.when(x.rlike("^" + OPENER + _CAPITAL), opener.bitwiseOR(long(_OPENS))).otherwise(opener))
+            .when(x.startswith(_OPENING_JOIN), long(NAME | _JOINED))
+            .when(x.rlike("^" + _CAPITAL), long(NAME))
+            .otherwise(plain)
+        )
+
+    # all other white space has become blanks
+    return bind(F.array_remove(F.split(apart, " "), ""), lambda w: F.transform(w, lambda x, i: code(w, x, i)))
+
+
+def codes_in_form(codes: Column, openers: bool) -> Column:
+    """The codes of one form: with ``openers`` a capitalised word that opens a sentence is a name, else it never is."""
+    if not openers:
+        return F.transform(codes, lambda c: c.bitwiseAND(F.lit(~3)))
+    own = F.filter(codes, lambda c: c.bitwiseAND(F.lit(3)) != _JOINED)
+    return F.transform(own, lambda c: F.when(c.bitwiseAND(F.lit(3)) == _OPENS, F.lit(NAME).cast("long")).otherwise(c))
+
+
+def _is_slot(code: Column) -> Column:
+    return code.isin(NUMBER, NAME, UNIT)
 
 
 def raw_tokens(marked_text: Column, openers: bool) -> Column:
@@ -59,27 +91,47 @@ def raw_tokens(marked_text: Column, openers: bool) -> Column:
     return words(F.lower(_in_form(marked_text, openers)))
 
 
-def window_hashes(tokens: Column, size: int) -> Column:
-    none = F.array().cast("array<long>")
-    return bind(
-        tokens,
-        lambda w: F.when(
-            F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
-        ).otherwise(none),
+def _with_later(hashes: Column, step: int, *more: Column) -> Column:
+    """Every hash joined with the one ``step`` places later; the last ``step`` have none to join."""
+    return bind(hashes, lambda a: F.zip_with(a, F.slice(a, F.lit(step + 1), F.size(a)), lambda x, y: F.xxhash64(x, y, *more)))
+
+
+def window_hashes(codes: Column, openers: Column, sizes) -> Column:
+    """An array for every size of the hashes of all windows of so many codes; each form and size has its own.
+
+    Codes are hashed in pairs, pairs in fours, and two fours cover a window of five to eight.
+    """
+    fours = _with_later(_with_later(codes, 1), 2)
+    kind = lambda size: openers.cast("int") + F.lit(2 * size)
+    whole = lambda a, size: F.greatest(F.size(a) - (size - 1), F.lit(0))
+    return bind(fours, lambda a: F.array(*[F.slice(_with_later(a, size - 4, kind(size)), F.lit(1), whole(a, size)) for size in sizes]))
+
+
+SIZES = range(MIN_TOKENS, WINDOW + 1)
+
+
+def _item_codes(benchmark: DataFrame, *more: Column) -> DataFrame:
+    """(item_id, openers, codes) of the items that have a text, in both forms; ``more`` may name ``m``, the marked text."""
+    texts = benchmark.where(F.col("text").isNotNull()).select("item_id", marked(F.col("text").cast("string")).alias("m"))
+    forms = bind(
+        token_codes(F.col("m")),
+        lambda c: F.array(*[F.struct(F.lit(o).alias("openers"), codes_in_form(c, o).alias("codes")) for o in FORMS]),
     )
+    return texts.select("item_id", "m", F.explode(forms).alias("f")).select("item_id", "m", "f.*").select("item_id", "openers", "codes", *more)
 
 
 def _benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, openers, size, n_windows, i, h); items shorter than a window are one window of their own size."""
-    texts = benchmark.where(F.col("text").isNotNull()).select("item_id", marked(F.col("text").cast("string")).alias("m"))
-    forms = [F.struct(F.lit(o).alias("openers"), words(canonical(F.col("m"), o)).alias("tokens")) for o in FORMS]
-    b = texts.select("item_id", F.explode(F.array(*forms)).alias("f")).select("item_id", "f.*")
-    sized = b.where(F.size("tokens") >= MIN_TOKENS).withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW)))
-    by_size = F.lit(None).cast("array<long>")
-    for size in range(MIN_TOKENS, WINDOW + 1):
-        by_size = F.when(F.col("size") == size, window_hashes(F.col("tokens"), size)).otherwise(by_size)
-    return sized.select("item_id", "openers", "size", by_size.alias("hs")).select(
-        "item_id", "openers", "size", F.size("hs").alias("n_windows"), F.posexplode("hs").alias("i", "h")
+    """(item_id, openers, size, n_windows, i, h) of all windows with a word.
+
+    Items shorter than a window are one window of their own size.
+    """
+    sized = _item_codes(benchmark).where(F.size("codes") >= MIN_TOKENS).withColumn("size", F.least(F.size("codes"), F.lit(WINDOW)))
+    hashes = F.get(window_hashes(F.col("codes"), F.col("openers"), SIZES), F.col("size") - MIN_TOKENS)
+    worded = lambda h, i: F.exists(F.slice("codes", i + 1, F.col("size")), lambda c: ~_is_slot(c))
+    placed = F.filter(F.transform(hashes, lambda h, i: F.struct(i.alias("i"), h.alias("h"), worded(h, i).alias("worded"))), lambda w: w["worded"])
+    kept = sized.select("item_id", "openers", "size", placed.alias("ws"))
+    return kept.select("item_id", "openers", "size", F.size("ws").alias("n_windows"), F.explode("ws").alias("w")).select(
+        "item_id", "openers", "size", "n_windows", "w.i", "w.h"
     )
 
 
@@ -137,30 +189,18 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     or unit of the item always meets the same one in the document. Places outside of the windows that stand in
     the document, as after a cut or an insertion, say nothing about slots. Repeated passages give the start with the
     most windows, then the first; ``start`` is the place of a word, whatever the form. Items with fewer than 5 tokens say nothing and match nothing; those with
-    fewer than 8 are one window. Null texts and null items match nothing. Rows of one id and text are one
+    fewer than 8 are one window. Windows of placeholders alone stand in any table of numbers, so they are not counted, and an
+    item without a word in it matches nothing. Null texts and null items match nothing. Rows of one id and text are one
     document; a null id is kept as null. Only windows that stand in the benchmark are shuffled.
     """
     windows = small(stage(_benchmark_windows(benchmark), "benchmark-windows"))
     keyed = with_row_key(docs.select("doc_id", text_or_empty().alias("t")), F.col("t"))
-    forms = keyed.select("kd", "k1", marked(F.col("t")).alias("m"))
-    tokens = forms.select("kd", "k1", *[words(canonical(F.col("m"), o)).alias(f"tokens_{o}") for o in FORMS])
-    wanted = [r["size"] for r in windows.select("size").distinct().collect()]  # four values at most
-    found = None
-    for size in sorted(wanted):
-        mine = windows.where(F.col("size") == size).select("h", "openers", "item_id", "i", "n_windows")
-        plain, opening = [window_hashes(F.col(f"tokens_{o}"), size) for o in FORMS]
-        both = tokens.select("kd", "k1", plain.alias("plain"), opening.alias("opening"))
-        # windows of the two forms in one array, so that texts are read once; the outer form, as the filter that the
-        # optimiser infers for the other would work out all windows a second time
-        stood = both.select("kd", "k1", F.size("plain").alias("n"), F.posexplode_outer(F.concat("plain", "opening")).alias("at", "h"))
-        met = (stood["h"] == mine["h"]) & ((F.col("at") >= F.col("n")) == F.col("openers"))
-        start = F.col("at") - F.when(F.col("openers"), F.col("n")).otherwise(0) - F.col("i")
-        hits = stood.join(mine, met).select("kd", "k1", "item_id", "openers", start.alias("start"), "i", "n_windows", F.lit(size).alias("size"))
-        found = hits if found is None else found.unionAll(hits)
-    if found is None:
-        found = tokens.where(F.lit(False)).select(
-            "kd", "k1", F.lit(None).cast("long").alias("item_id"), F.lit(False).alias("openers"), *[F.lit(0).alias(c) for c in ("start", "i", "n_windows", "size")]
-        )
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect()) or [WINDOW]  # four values at most
+    by_form = lambda c: F.concat(*[window_hashes(codes_in_form(c, o), F.lit(o), sizes) for o in FORMS])
+    hashes = bind(token_codes(marked(F.col("t"))), by_form)
+    # outer forms, as the filter that the optimiser infers for others would work out all windows a second time
+    stood = keyed.select("kd", "k1", F.explode_outer(hashes).alias("hs")).select("kd", "k1", F.posexplode_outer("hs").alias("at", "h"))
+    found = stood.join(windows, "h").withColumn("start", F.col("at") - F.col("i"))
     aligned = (
         found.groupBy("kd", "k1", "item_id", "openers", "start", "n_windows", "size")
         # rows of one id and text, and items with one id, meet here: places, not rows; as many as the item's windows
@@ -170,15 +210,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     candidates = small(stage(aligned, "benchmark-candidates"))
     texts = keyed.join(candidates.select("kd", "k1"), ["kd", "k1"], "left_semi").dropDuplicates(["kd", "k1"])
-    asked = benchmark.where(F.col("text").isNotNull()).select("item_id", marked(F.col("text").cast("string")).alias("m"))
-    item_forms = [
-        F.struct(F.lit(o).alias("openers"), raw_tokens(F.col("m"), o).alias("item_tokens"), words(canonical(F.col("m"), o)).alias("item_canonical"))
-        for o in FORMS
-    ]
-    items = asked.select("item_id", F.explode(F.array(*item_forms)).alias("f")).select("item_id", "f.*")
-    slots = F.filter(
-        F.transform("item_canonical", lambda x, i: F.when(x.isin(NUMBER, NAME, UNIT), i)), lambda x: x.isNotNull()
-    )
+    item_tokens = F.when(F.col("openers"), raw_tokens(F.col("m"), True)).otherwise(raw_tokens(F.col("m"), False))
+    items = _item_codes(benchmark, item_tokens.alias("item_tokens"))
+    slots = F.filter(F.transform("codes", lambda x, i: F.when(_is_slot(x), i)), lambda x: x.isNotNull())
     held = texts.select("kd", "k1", "doc_id", marked(F.col("t")).alias("m"))
     doc_tokens = F.when(F.col("openers"), raw_tokens(F.col("m"), True)).otherwise(raw_tokens(F.col("m"), False))
     checked = (

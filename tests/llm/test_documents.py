@@ -569,6 +569,67 @@ def test_names_that_open_sentences_and_names_of_several_words(spark):
     assert not [r for r in found if r.doc_id == 8]
 
 
+def test_windows_of_numbers_alone_are_not_counted(spark):
+    table = " ".join(str(3 * i) for i in range(40))
+    mixed = "The table of all the sums that were paid out: " + table + " and so it ended on the last of these days"
+    bench = spark.createDataFrame([(1, table), (2, mixed), (3, mixed + " " + table)], "item_id long, text string")
+    texts = [" ".join(map(str, range(100_000))), mixed, mixed.replace("39", "40"), table]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.benchmark_matches(docs, bench).collect()}
+    assert found == {(1, 2), (1, 3), (2, 2), (2, 3)}
+
+
+def test_codes_tell_the_forms_apart(spark):
+    text = "Old Tom paid 5 kg, 12 KG. Mary-Ann Lee ran; USA said\t7.5 Miles (kg) in O'Neil"
+    m = decontamination.marked(F.lit(text))
+    codes = decontamination.token_codes(m)
+    row = spark.range(1).select(
+        *[decontamination.codes_in_form(codes, o).alias(f"c{o}") for o in (False, True)],
+        *[decontamination.raw_tokens(m, o).alias(f"t{o}") for o in (False, True)],
+    ).first()
+    kinds = {decontamination.NUMBER: "#", decontamination.NAME: "N", decontamination.UNIT: "u"}
+    read = lambda o: "".join(kinds.get(c, "w") for c in row[f"c{o}"])
+    assert read(False) == "wNw#u#uwNwww#NwwwN"  # O and Neil are two tokens
+    assert [len(row[f"c{o}"]) for o in (False, True)] == [len(row[f"t{o}"]) for o in (False, True)]
+    assert read(True) == "Nw#u#uNwww#NwwwN"
+
+
+def test_templates_are_found_as_by_search(spark):
+    """Items of lower-case words and numbers against a plain search over all places of all texts."""
+    rng = random.Random(5)
+    tokens = lambda n: [rng.choice(["ab", "cd", "ef", "gh", "1", "22", "303"]) for _ in range(n)]
+    items = [tokens(rng.choice([5, 6, 7, 8, 9, 14, 20])) for _ in range(40)]
+    texts = []
+    for k in range(120):
+        body = list(rng.choice(items))
+        if k % 2:
+            swap = {"1": rng.choice("14"), "22": rng.choice(["22", "5"]), "303": "6"}
+            body = [swap.get(w, w) for w in body]
+        if k % 3 == 0:
+            body[rng.randrange(len(body))] = rng.choice(["ab", "9", "zz"])
+        texts.append(tokens(rng.randrange(6)) + body + tokens(rng.randrange(6)))
+    digit = lambda w: w[0].isdigit()
+    shape = lambda ws: ["#" if digit(w) else w for w in ws]
+
+    def holds(doc, item):
+        size = min(8, len(item))
+        places = [i for i in range(len(item) - size + 1) if not all(map(digit, item[i : i + size]))]
+        for start in range(1 - len(item), len(doc)):
+            met = [i for i in places if i + start >= 0 and shape(doc[i + start : i + start + size]) == shape(item[i : i + size])]
+            slots = {s for i in met for s in range(i, i + size) if digit(item[s])}
+            pairs = {(item[s], doc[s + start]) for s in slots}
+            one_to_one = len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
+            if met and 2 * len(met) >= len(places) and one_to_one:
+                return True
+        return False
+
+    expected = {(d, i) for d, doc in enumerate(texts) for i, item in enumerate(items) if holds(doc, item)}
+    docs = spark.createDataFrame([(d, " ".join(ws)) for d, ws in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(ws)) for i, ws in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.benchmark_matches(docs, bench).collect()}
+    assert found == expected and len(expected) > 60
+
+
 def test_passages_are_found_as_by_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

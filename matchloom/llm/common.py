@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +75,40 @@ def pieces_of(batches, column: int, most: int = 2_000_000) -> Iterator:
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared work folder and read it back; its shuffle files go when it is written."""
+# folders written inside of each open scratch, the innermost last
+_scratches: ContextVar[tuple[list, ...]] = ContextVar("scratches", default=())
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables staged inside are deleted at the end, also after a failure, but for those staged with ``keep``.
+
+    Nothing that is returned from inside may read the others.
+    """
+    folders: list = []
+    token = _scratches.set((*_scratches.get(), folders))
+    try:
+        yield
+    finally:
+        _scratches.reset(token)
+        for spark, path in folders:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared work folder and read it back; its shuffle files go when it is written.
+
+    With ``keep`` it outlives the innermost scratch.
+    """
     from matchloom.session import work_folder
 
     spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)
     path = work_folder(spark, label)
+    owners = _scratches.get()[:-1] if keep else _scratches.get()
+    if owners:
+        owners[-1].append((spark, path))
     spark.conf.set(key, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)

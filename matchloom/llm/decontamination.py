@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import bind, small, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import bind, scratch, small, stage, text_or_empty, with_row_key, words
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -230,7 +230,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    held = benchmark_matches(docs, benchmark).select(F.col("kd").alias("__kd"), F.col("k1").alias("__k1")).distinct()
-    held = small(stage(held, "benchmark-held"))  # few keys: texts need no shuffle
+    with scratch():
+        held = benchmark_matches(docs, benchmark).select(F.col("kd").alias("__kd"), F.col("k1").alias("__k1")).distinct()
+        held = stage(held, "benchmark-held", keep=True)
+    held = small(held)  # few keys: texts need no shuffle
     kd, k1 = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(text_or_empty())
     return docs.join(held, (kd == F.col("__kd")) & (k1 == F.col("__k1")), "left_anti")

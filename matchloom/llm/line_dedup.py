@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import has_word, small, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import has_word, scratch, small, stage, text_or_empty, with_row_key, words
 
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
@@ -263,7 +263,9 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     are ordered by a hash of the text. A null text is empty. Gives one row per input row: ``row`` (a struct of all
     columns, so that none can clash), ``n_lines`` and ``n_removed`` (lines with a word), ``kept_text``.
     """
-    kept = kept_first_lines(docs).groupBy("kd", "k1").agg(F.collect_set("line_no").alias("keep"))
+    with scratch():
+        kept = kept_first_lines(docs).groupBy("kd", "k1").agg(F.collect_set("line_no").alias("keep"))
+        kept = stage(kept, "line-kept", keep=True)
     base = docs.select(F.struct("*").alias("row"), "doc_id", text_or_empty().alias("t"))
     joined = with_row_key(base, F.col("t")).join(kept, ["kd", "k1"], "left").select(
         "row", F.split("t", "\n").alias("lines"), F.coalesce("keep", F.array().cast("array<int>")).alias("keep")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import NO_ID, small, stage, text_or_empty, with_row_key
+from matchloom.llm.common import NO_ID, scratch, small, stage, text_or_empty, with_row_key
 
 SHINGLE = 3
 SEED = 42
@@ -155,11 +155,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
     A null id sorts first. Rows of one id and one text are one document, of which one row stays.
     """
-    found = simhash_components(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kd"), "k1", "root")
-    first = found.groupBy("root").agg(F.min(F.struct("kd", "k1")).alias("f")).select("f.kd", "f.k1", F.lit(True).alias("stays"))
-    rows = found.groupBy("kd", "k1").agg(F.count(F.lit(1)).alias("n_rows"))
-    # the rows that go or repeat are few against those that stay: their keys meet the texts where these are
-    changed = stage(rows.join(first, ["kd", "k1"], "left").where("stays is null or n_rows > 1"), "simhash-changed")
+    with scratch():
+        found = simhash_components(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kd"), "k1", "root")
+        first = found.groupBy("root").agg(F.min(F.struct("kd", "k1")).alias("f")).select("f.kd", "f.k1", F.lit(True).alias("stays"))
+        rows = found.groupBy("kd", "k1").agg(F.count(F.lit(1)).alias("n_rows"))
+        # the rows that go or repeat are few against those that stay: their keys meet the texts where these are
+        changed = rows.join(first, ["kd", "k1"], "left").where("stays is null or n_rows > 1")
+        changed = stage(changed, "simhash-changed", keep=True)
     gone, repeated = (small(changed.where(c).select("kd", "k1")) for c in ("stays is null", "stays"))
     keyed = with_row_key(docs.select(F.struct("*").alias("row"), "doc_id", text_or_empty().alias("t")), F.col("t"))
     left = keyed.join(gone, ["kd", "k1"], "left_anti").select("kd", "k1", "row")

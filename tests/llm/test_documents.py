@@ -643,6 +643,21 @@ def test_passages_are_found_as_by_search(spark):
 # all
 
 
+def test_operators_delete_what_they_staged(spark, awkward, tmp_path, monkeypatch):
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    monkeypatch.setattr("matchloom.session.work_folder", lambda spark, label: f"{tmp_path}/{label}-{len(labels.append(label) or labels)}")
+    labels = []
+    results = [
+        line_dedup.dedup_documents(awkward),
+        simhash_dedup.near_dedup(awkward),
+        decontamination.decontaminate(awkward, bench),
+    ]
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert left == ["benchmark-held", "line-kept", "simhash-changed"] and len(labels) > 9
+    counts = [df.count() for df in results]
+    assert counts[0] == awkward.count() and all(counts)
+
+
 def test_empty_tables(awkward):
     none = awkward.limit(0)
     labels = awkward.sparkSession.createDataFrame([], "doc_id long, quality int, toxic int")

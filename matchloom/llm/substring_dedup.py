@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import pieces_of, small, stage, text_or_empty, with_row_key
@@ -187,10 +187,11 @@ def _repeats_in_groups(contexts: DataFrame) -> DataFrame:
 
 
 def _repeats_of_long_prefixes(contexts: DataFrame) -> DataFrame:
-    """The same for anchors with very many places: a window's group is named by a digest of all its words.
+    """(kd, k1, spans) for anchors with very many places: a window's group is named by a digest of all its words.
 
     All windows of such a group are equal, so it need only be counted, which combines before the shuffle. Places
     whose whole text occurs again are repeats by that alone; only one of each such text is cut into suffixes.
+    The places of one text in one document are one row, however often the document repeats it.
     """
     import pyarrow as pa
 
@@ -214,17 +215,21 @@ def _repeats_of_long_prefixes(contexts: DataFrame) -> DataFrame:
         named.groupBy("text").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("kd", "k1", "first", "n", "words")).alias("p")),
         "repeat-texts",
     )
-    copied = named.join(texts.where("times > 1").select("text"), "text").select(
-        "kd", "k1", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1).alias("hi")
-    )
+    span = F.struct(F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1).alias("hi"))
+    placed = named.groupBy("text", "kd", "k1").agg(F.collect_list(span).alias("spans"))
+    copied = placed.join(texts.where("times > 1").select("text"), "text").select("kd", "k1", "spans")
     single = texts.select((F.col("times") == 1).alias("alone"), "p.*").mapInArrow(
         run, "digest binary, alone boolean, kd long, k1 long, lo int"
     )
     deep = single.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    shared = single.where("alone").join(deep, "digest").select("kd", "k1", "lo", F.col("lo").alias("hi"))
+    shared = single.where("alone").join(deep, "digest").select("kd", "k1", _spans(F.col("lo"), F.col("lo")))
     return copied.unionAll(shared)
 
 
+def _spans(lo: Column, hi: Column) -> Column:
+    return F.array(F.struct(lo.alias("lo"), hi.alias("hi"))).alias("spans")
+
+
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """Remove each word that a repeated window of 35 words covers.
 
@@ -253,8 +258,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("a").alias("anchors"))
     )
     contexts = stage(_contexts(texts.join(mine, ["kd", "k1"])), "repeat-contexts")
-    marks = _repeats_in_groups(contexts.where("not hot")).unionAll(_repeats_of_long_prefixes(contexts.where("hot")))
-    marks = stage(marks, "repeat-marks").groupBy("kd", "k1").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("marks"))
+    found = _repeats_in_groups(contexts.where("not hot")).select("kd", "k1", _spans(F.col("lo"), F.col("hi")))
+    marks = stage(found.unionAll(_repeats_of_long_prefixes(contexts.where("hot"))), "repeat-marks")
+    # no order and no distinctness is needed: each range is only marked
+    marks = marks.groupBy("kd", "k1").agg(F.flatten(F.collect_list("spans")).alias("marks"))
 
     def cut(batches):
         import numpy as np

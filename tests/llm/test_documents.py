@@ -129,6 +129,15 @@ def test_substring_dedup(awkward, plain_rows, monkeypatch, memory_rows):
     assert counts_of(found) == brute_substrings(plain_rows)
 
 
+def test_substrings_that_a_document_repeats_itself(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "MEMORY_ROWS", 1)
+    period = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, " ".join([period] * 30)), (2, "a " + " ".join([period] * 3) + " z"), (None, period + " own end"), (3, "p0 p1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert counts_of(found) == brute_substrings(rows)
+
+
 # licences
 
 

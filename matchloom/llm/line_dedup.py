@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from matchloom.llm.common import has_word, scratch, small, stage, text_or_empty,
 NUMERATOR, DENOMINATOR = 4, 5
 # tokens are ordered by the count of their bucket; any order gives the same result, a better one is quicker
 RARITY_BUCKETS = 1 << 17
-# bits of the parity that candidate pairs are compared by before their lines are
-WIDE = 512
+# sets of at least this many words carry a parity of LONG_BITS bits in their posting lists: 64 bits tell
+# short sets apart, but those of any two long sets differ in fewer bits than similar ones may
+LONG, LONG_BITS = 64, 256
 
 
 def _bucket(token: Column) -> Column:
@@ -46,6 +49,20 @@ def _shift(bit: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
 
 
+def _parities(tokens: str, bits: int, start: int = 0) -> Column:
+    """A parity of so many bits as an array of longs, from the ``start``-th on."""
+    return F.array(
+        *[
+            F.aggregate(
+                F.filter(tokens, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(bits // 64 - 1)) == k),  # noqa: B023
+                F.lit(0).cast("long"),
+                lambda a, t: a.bitwiseXOR(_shift(t)),
+            )
+            for k in range(start, bits // 64)
+        ]
+    )
+
+
 def line_sets(lines: DataFrame) -> DataFrame:
     """Per line the set of its words: two hashes that name it, its size, its parity and a token per word.
 
@@ -75,7 +92,8 @@ def _prefix_size(n: Column) -> Column:
 def line_classes(sets: DataFrame, rarity: list[int]) -> DataFrame:
     """One row per distinct set of words: the first line that has it and its rarest tokens, rarest first.
 
-    ``prefix`` has one token more than a similar set must share one of.
+    ``prefix`` has one token more than a similar set must share one of. ``more`` is the parity of LONG_BITS bits
+    of long sets, without its first 64, which follow from ``parity``; null for other sets.
     """
     # folded to one array literal before the query runs
     levels = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<long>")
@@ -83,7 +101,8 @@ def line_classes(sets: DataFrame, rarity: list[int]) -> DataFrame:
     ranked = F.transform("tokens", lambda t: F.shiftleft(F.element_at(levels, _bucket(t) + F.lit(1)), 32).bitwiseOR(t.cast("long")))
     rarest = F.slice(F.sort_array(ranked), F.lit(1), _prefix_size(F.col("n")) + 1)
     prefix = F.transform(rarest, lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
-    rows = sets.select("c1", "c2", F.struct("kd", "line_no", "k1", "n", "parity", prefix.alias("prefix")).alias("first"))
+    more = F.when(F.col("n") >= LONG, _parities("tokens", LONG_BITS, 1)).alias("more")
+    rows = sets.select("c1", "c2", F.struct("kd", "line_no", "k1", "n", "parity", more, prefix.alias("prefix")).alias("first"))
     return rows.groupBy("c1", "c2").agg(F.min("first").alias("first")).select("c1", "c2", "first.*")
 
 
@@ -100,14 +119,14 @@ def prefixes(classes: DataFrame) -> DataFrame:
     """
     tokens = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
     pairs = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), F.get("prefix", i + 1).alias("next")))
-    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", "parity", F.posexplode(pairs).alias("pos", "x"))
+    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", "parity", "more", F.posexplode(pairs).alias("pos", "x"))
     # the join asks for this of one side only; asked of both, they read one shuffle
-    return rows.select("x.token", "x.next", *KEY, "n", "parity", "pos").where("token is not null and parity is not null")
+    return rows.select("x.token", "x.next", *KEY, "n", "parity", "more", "pos").where("token is not null and parity is not null")
 
 
 # of the first line of a class: no other class has it, also under a null or repeated id
 KEY = ("kd", "line_no", "k1")
-_ROW = (*KEY, "n", "parity", "pos")
+_ROW = (*KEY, "n", "parity", "more", "pos")
 _PAIR = [f"{side}_{c}" for side in "yx" for c in KEY]
 
 
@@ -120,6 +139,14 @@ def _earlier(y: str, x: str) -> Column:
     return (kd[0] < kd[1]) | ((kd[0] == kd[1]) & ((line[0] < line[1]) | ((line[0] == line[1]) & (text[0] < text[1]))))
 
 
+def _differing_bits(y: str, x: str) -> Column:
+    """Differing bits of two parities: of the long ones if both sets have them."""
+    differ = lambda name: F.col(f"{y}_{name}").bitwiseXOR(F.col(f"{x}_{name}"))
+    rest = [F.get(f"{y}_more", k).bitwiseXOR(F.get(f"{x}_more", k)) for k in range(LONG_BITS // 64 - 1)]
+    first = reduce(Column.bitwiseXOR, rest, differ("parity"))
+    return F.coalesce(reduce(Column.__add__, map(F.bit_count, rest), F.bit_count(first)), F.bit_count(differ("parity")))
+
+
 def _may_be_similar(y: str, x: str) -> Column:
     """Length, parity and positional filters for two rows of one token's posting list."""
     c = lambda side, name: F.col(f"{side}_{name}")
@@ -128,8 +155,8 @@ def _may_be_similar(y: str, x: str) -> Column:
     return (
         (nx * DENOMINATOR >= ny * NUMERATOR)
         & (ny * DENOMINATOR >= nx * NUMERATOR)
-        & (F.bit_count(c(x, "parity").bitwiseXOR(c(y, "parity"))) <= nx + ny - 2 * shared)
         & (F.least(ny - c(y, "pos"), nx - c(x, "pos")) + F.least(c(y, "pos"), c(x, "pos")) >= shared)
+        & (_differing_bits(y, x) <= nx + ny - 2 * shared)
     )
 
 
@@ -157,56 +184,22 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     met = (F.col("y_token") == F.col("x_token")) & ~F.col("head") & _may_be_similar("y", "x") & _earlier("y", "x")
     joined = headed.join(xs, met, "left").where("head or x_token is not null")
     other = [F.when(F.col("head"), F.col(f"h_{c}")).otherwise(F.col(f"x_{c}")).alias(f"x_{c}") for c in KEY]
-    parity = F.when(F.col("head"), F.col("h_parity")).otherwise(F.col("x_parity"))
-    difference = F.bit_count(F.col("y_parity").bitwiseXOR(parity))
+    difference = F.when(F.col("head"), _differing_bits("y", "h")).otherwise(_differing_bits("y", "x"))
     pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next", difference.alias("difference"))
     return pairs.groupBy(*_PAIR).agg(*[F.max(c).alias(c) for c in ("head", "x_next", "difference")])
 
 
-def _wide_parity(tokens: str) -> Column:
-    """The parity of WIDE bits as an array of longs."""
-    return F.array(
-        *[
-            F.aggregate(
-                F.filter(tokens, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(WIDE // 64 - 1)) == k),  # noqa: B023
-                F.lit(0).cast("long"),
-                lambda a, t: a.bitwiseXOR(_shift(t)),
-            )
-            for k in range(WIDE // 64)
-        ]
-    )
-
-
 _PLACE = ["kd", "k1", "line_no"]
 
 
 def _of_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """The classes that pairs are of, staged, without their tokens."""
+    """The classes that pairs are of, staged, without their prefixes."""
     keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
     wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
-    found = classes.select(*KEY, "n", "c1", "c2").join(wanted, list(KEY), "left_semi")
+    found = classes.select(*KEY, "c1", "c2").join(wanted, list(KEY), "left_semi")
     return small(stage(found, label + "-classes"))
 
 
-def _wide_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """The classes that pairs are of, with their sizes and wide parities; staged."""
-    mine = _of_pairs(pairs, classes, label)
-    # repeated rows of one id and one text have the same tokens
-    own = sets.select(*_PLACE, "tokens").join(mine, _PLACE).select(*KEY, "n", _wide_parity("tokens").alias("wide"))
-    return stage(own.groupBy(*KEY).agg(F.min(F.struct("n", "wide")).alias("o")).select(*KEY, "o.*"), label + "-wide")
-
-
-def _near_pairs(pairs: DataFrame, wide: DataFrame, label: str) -> DataFrame:
-    """Staged pairs whose wide parities are near enough."""
-    side = lambda s: wide.select(*_named(s, (*KEY, "n", "wide")))
-    both = pairs.join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
-    bits = sum(
-        (F.bit_count(F.col("y_wide")[k].bitwiseXOR(F.col("x_wide")[k])) for k in range(WIDE // 64)), F.lit(0)
-    )
-    bound = F.col("y_n") + F.col("x_n") - 2 * _least_overlap(F.col("y_n"), F.col("x_n"))
-    return stage(both.where(bits <= bound).select(*_PAIR), label)
-
-
 def _lines_of(pairs: DataFrame, classes: DataFrame, lines: DataFrame, label: str) -> DataFrame:
     """The classes that pairs are of, with the words of their first lines; staged."""
     mine = _of_pairs(pairs, classes, label)
@@ -228,28 +221,26 @@ def _verified(pairs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
 def kept_first_lines(docs: DataFrame) -> DataFrame:
     """(kd, k1, line_no) of the lines with a word that stay."""
     lines = line_rows(docs)
-    sets = stage(line_sets(lines), "line-sets")
-    classes = stage(line_classes(sets, token_rarity(sets)), "line-classes")
+    with scratch():  # the tokens of all words go before their posting lists are written
+        sets = stage(line_sets(lines), "line-sets")
+        classes = stage(line_classes(sets, token_rarity(sets)), "line-classes", keep=True)
     posted = prefixes(classes)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    wide = _wide_of(pairs, classes, sets, "line-all")
     # the likeliest pair of each class first, then the other pairs of those that it did not settle
     y_names, x_names = _PAIR[:3], _PAIR[3:]
     likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
     first = stage(pairs.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
-    near = _near_pairs(first, wide, "line-near")
-    gone = _verified(near, _lines_of(near, classes, lines, "line-own"), "line-settled")
+    gone = _verified(first, _lines_of(first, classes, lines, "line-own"), "line-settled")
     others = pairs.join(gone.select(*_named("y", KEY)), y_names, "left_anti").join(first, _PAIR, "left_anti")
-    near = _near_pairs(others, wide, "line-near-more")
-    gone = gone.unionAll(_verified(near, _lines_of(near, classes, lines, "line-own-more"), "line-settled-more"))
+    others = stage(others.select(*_PAIR), "line-others")
+    gone = gone.unionAll(_verified(others, _lines_of(others, classes, lines, "line-own-more"), "line-settled-more"))
     # classes that were paired with heads in vain: the rest of their lists
     y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
     again = stage(pairs.where("head").select(*y_keys).distinct().join(gone, list(KEY), "left_anti"), "line-again")
     if again.take(1):
         rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
         rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
-        near = _near_pairs(rest, _wide_of(rest, classes, sets, "line-all-again"), "line-near-again")
-        gone = gone.unionAll(_verified(near, _lines_of(near, classes, lines, "line-own-again"), "line-settled-last"))
+        gone = gone.unionAll(_verified(rest, _lines_of(rest, classes, lines, "line-own-again"), "line-settled-last"))
     gone = gone.select("c1", "c2").distinct()
     return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")
 

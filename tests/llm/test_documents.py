@@ -513,6 +513,20 @@ def test_variants_of_one_line(spark):
     assert counts_of(found) == brute_lines(rows)
 
 
+def test_variants_of_long_lines(spark):
+    """Lines about the length from which posting lists carry the longer parity, and far longer ones."""
+    rng = random.Random(6)
+    base = [f"v{i}" for i in range(600)]
+    rows = []
+    for i in range(60):
+        words = rng.sample(base[:90], rng.choice([55, 63, 64, 66, 75])) if i % 2 else base[: rng.choice([62, 64, 70, 520, 600])]
+        words = [f"e{rng.randrange(200)}" if rng.random() < rng.choice([0.02, 0.12]) else w for w in words]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = line_dedup.line_dedup(df).select("row.doc_id", "n_lines", "n_removed", "kept_text").collect()
+    assert counts_of(found) == brute_lines(rows)
+
+
 # decontamination
 
 

@@ -124,6 +124,17 @@ def test_all_pairs_meet_in_blocks(spark):
     assert ops.all_pairs(teams.where("false"), pairs.select("home", "away", "goals")).count() == 0
 
 
+def test_all_pairs_are_not_shuffled(spark):
+    teams = spark.range(3000).selectExpr("id AS team", "0.0D AS attack", "0.0D AS defence")
+    fixtures = spark.range(9000).selectExpr("id % 3000 AS home", "(id * 7 + 1) % 3000 AS away", "id AS goals")
+    pairs = ops.all_pairs(teams, fixtures)
+    assert pairs.filter("goals IS NOT NULL").count() == fixtures.filter("home <> away").count()
+    # where the pairs are made, no exchange and no sort stands above
+    lines = plan_of(pairs).splitlines()
+    made = next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line and "_row" in line)
+    assert not any("Exchange" in line or "Sort" in line for line in lines[:made])
+
+
 def test_attach_league_keeps_unmatched_rows(spark):
     stats = urls(spark, "a/file", "z/file").withColumn("Tier", F.lit("own"))
     matches = results(spark).select("MatchURL", "Country", "Tier", "Gender").filter("MatchURL IS NOT NULL")

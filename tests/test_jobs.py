@@ -129,3 +129,24 @@ def test_competitions_by_name(spark):
     rows = {r.Competition_Name: r for r in seasons.conform_competitions(df).collect()}
     assert (rows["Ligue 1"].Country, rows["Ligue 1"].Season_End_Year) == ("FRA", 2019)
     assert (rows["Cup"].Country, rows["Cup"].Season_End_Year) == ("Cup", 2020)
+
+
+def test_compressed_families(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "summary"
+    folder.mkdir()
+    (folder / "ENG_M_1st_a.csv").write_text("MatchURL,Gls\nx,1\n")
+    with gzip.open(folder / "ITA_F_2nd_b.csv.gz", "wt") as f:
+        f.write("Gls,MatchURL\n2,y\n")
+    rows = extract.load_family(spark, str(folder), "summary").select("MatchURL", "Gls", "Country", "Gender", "Tier").collect()
+    assert sorted(map(tuple, rows)) == [("x", 1, "ENG", "M", "1st"), ("y", 2, "ITA", "F", "2nd")]
+    both = extract.load_family(spark, str(folder / "ITA_F_2nd_b.csv.gz"), "summary")
+    assert both.count() == 1
+
+
+def test_families_share_one_join(spark):
+    from checks.joins import short_families
+
+    for df in short_families(spark, "/root/testdata/sf0.001").values():
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()

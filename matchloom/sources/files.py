@@ -216,12 +216,22 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], glob: str =
     return reader.text(paths, wholetext=True).select("value", _file_path().alias(SOURCE))
 
 
+def _parsed(documents: DataFrame, schema: str) -> DataFrame:
+    """Documents with their ``items``, parsed once a row.
+
+    They come out of a generator of one row each: filters on a plain column would be moved below it, with the parser
+    written out wherever they name it.
+    """
+    items = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    return documents.drop("items").select("*", F.explode(F.array(items)).alias("items"))
+
+
 def lineup_documents(documents: DataFrame, schema: str = LINEUP_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """One row per line-up player of documents ``[home, away]``; and the bad documents.
 
     ``documents`` has match_id and value, from files or from a stored column.
     """
-    parsed = documents.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    parsed = _parsed(documents, schema)
     whole = (
         F.col("match_id").isNotNull()
         & (F.size("items") == 2)
@@ -241,7 +251,7 @@ def lineup_documents(documents: DataFrame, schema: str = LINEUP_SCHEMA) -> tuple
 
 def match_documents(documents: DataFrame, schema: str = MATCH_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """One row per match of documents that hold arrays of matches; and the bad documents."""
-    parsed = documents.withColumn("items", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    parsed = _parsed(documents, schema)
     found = parsed.filter(F.col("items").isNotNull()).select(F.explode("items").alias("m"))
     return (
         found.filter(F.col("m.match_id").isNotNull()).select("m.*"),

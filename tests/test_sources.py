@@ -362,3 +362,10 @@ def test_work_folder_is_below_the_named_one(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(Cluster("yarn"), "x")
     assert "matchloom-" in work_folder(Cluster("local[2]"), "x")
+
+
+def test_documents_are_parsed_once(spark):
+    stored = spark.createDataFrame([(1, "[]")], "match_id bigint, value string")
+    for found in (files.lineup_documents(stored), files.match_documents(stored.select("value"))):
+        for df in found:
+            assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1

@@ -24,7 +24,8 @@ KEY_SETS = {"summary": SUMMARY_KEYS, "team_summary": TEAM_KEYS_SEEN, "team_advan
 
 
 def key_sets(spark, d, results):
-    return {n: run(spark, d, sql.replace("DISTINCT", ""), results=results) for n, sql in KEY_SETS.items()}
+    dealt = ops.in_tasks(results, "MatchKey", 4 * spark.sparkContext.defaultParallelism)
+    return {n: run(spark, d, sql.replace("DISTINCT", ""), results=dealt) for n, sql in KEY_SETS.items()}
 
 
 @check(

@@ -32,17 +32,26 @@ def with_league_config(
     return joined.join(config, ["Country", "Tier"], "inner")
 
 
+def in_tasks(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """Rows dealt by ``key`` to so many tasks; without ``tasks`` as many as the session has shuffle partitions.
+
+    Left to itself Spark merges partitions by their compressed size. URLs and keys in order compress so well that a
+    join of them would run in a task for each core, and its sorts and maps would grow with the whole input.
+    """
+    return df.repartition(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), quoted(key))
+
+
 def with_presence_flags(results: DataFrame, key: str = "MatchURL", **key_sets: DataFrame) -> DataFrame:
     """A boolean per named key set: does the row's key occur in it?
 
     The sets are merged first (one row per key with one flag per set), so the
-    results shuffle once however many sets there are.
+    results shuffle once however many sets there are, to as many tasks as the session names.
     """
     marked = relaxed_union(
         [df.select(quoted(key)).withColumn(name, F.lit(True)) for name, df in key_sets.items()]
     )
     flags = marked.filter(quoted(key).isNotNull()).groupBy(key).agg(*[F.max(n).alias(n) for n in key_sets])
-    return results.join(flags, key, "left").withColumns(
+    return in_tasks(results, key).join(flags, key, "left").withColumns(
         {n: F.coalesce(F.col(n), F.lit(False)) for n in key_sets}
     )
 

@@ -155,3 +155,12 @@ def test_small_aggregates(spark):
     assert n_unique(df, "s", approximate=True).first()[0] == 3
     wages = spark.sql("select 'c' Comp, 't' Team, 1 Season, cast(null as double) WeeklyWageGBP")
     assert [tuple(r)[3:] for r in wage_totals(wages).collect()] == [(0.0, None)]
+
+
+def test_presence_flags_use_all_tasks(spark):
+    # partitions of some bytes would be merged to one task, whatever the rows need
+    rows = spark.range(0, 1000, 1, 1).selectExpr("concat('https://x/', id) AS MatchURL")
+    flagged = ops.with_presence_flags(rows, seen=rows)
+    tasks = flagged.groupBy(F.spark_partition_id()).count().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert flagged.filter("seen").count() == 1000

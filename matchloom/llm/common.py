@@ -96,10 +96,11 @@ def scratch() -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def stage(df: DataFrame, label: str, keep: bool = False, hashes: bool = False) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back; its shuffle files go when it is written.
 
-    With ``keep`` it outlives the innermost scratch.
+    With ``keep`` it outlives the innermost scratch. A table of ``hashes``, which hardly repeat, is written
+    without dictionaries.
     """
     from matchloom.session import work_folder
 
@@ -111,7 +112,7 @@ def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
         owners[-1].append((spark, path))
     spark.conf.set(key, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**{"compression": "zstd", "parquet.enable.dictionary": str(not hashes).lower()}).parquet(path)
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import has_word, scratch, small, stage, text_or_empty, with_row_key, words
+from matchloom.llm.common import MAX_BROADCAST_ROWS, has_word, scratch, small, stage, text_or_empty, with_row_key, words
 
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
@@ -38,9 +38,11 @@ def token_rarity(sets: DataFrame) -> list[int]:
     return levels
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """(kd, k1, line_no, line) of every line that has a word."""
+def line_rows(docs: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """(kd, k1, line_no, line) of every line that has a word, in all documents or in those whose keys ``of`` has."""
     keyed = with_row_key(docs.select("doc_id", text_or_empty().alias("t")), F.col("t"))
+    if of is not None:
+        keyed = keyed.join(of, ["kd", "k1"], "left_semi")
     lines = keyed.select("kd", "k1", F.posexplode(F.split("t", "\n")).alias("line_no", "line"))
     return lines.where(has_word(F.col("line")))
 
@@ -96,9 +98,9 @@ def line_classes(sets: DataFrame, rarity: list[int]) -> DataFrame:
     of long sets, without its first 64, which follow from ``parity``; null for other sets.
     """
     # folded to one array literal before the query runs
-    levels = F.split(F.lit(",".join(map(str, rarity))), ",").cast("array<long>")
+    levels = F.split(F.lit(",".join(str(level << 32) for level in rarity)), ",").cast("array<long>")
     # level and token in one number, so that the order is that of numbers
-    ranked = F.transform("tokens", lambda t: F.shiftleft(F.element_at(levels, _bucket(t) + F.lit(1)), 32).bitwiseOR(t.cast("long")))
+    ranked = F.transform("tokens", lambda t: F.get(levels, _bucket(t)).bitwiseOR(t.cast("long")))
     rarest = F.slice(F.sort_array(ranked), F.lit(1), _prefix_size(F.col("n")) + 1)
     prefix = F.transform(rarest, lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
     more = F.when(F.col("n") >= LONG, _parities("tokens", LONG_BITS, 1)).alias("more")
@@ -118,10 +120,10 @@ def prefixes(classes: DataFrame) -> DataFrame:
     themselves.
     """
     tokens = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
-    pairs = F.transform(tokens, lambda t, i: F.struct(t.alias("token"), F.get("prefix", i + 1).alias("next")))
-    rows = classes.where(F.col("n") >= NUMERATOR).select(*KEY, "n", "parity", "more", F.posexplode(pairs).alias("pos", "x"))
+    rows = classes.where(F.col("n") >= NUMERATOR).select("*", F.posexplode(tokens).alias("pos", "token"))
     # the join asks for this of one side only; asked of both, they read one shuffle
-    return rows.select("x.token", "x.next", *KEY, "n", "parity", "more", "pos").where("token is not null and parity is not null")
+    following = F.get("prefix", F.col("pos") + 1).alias("next")
+    return rows.select("token", following, *KEY, "n", "parity", "more", "pos").where("token is not null and parity is not null")
 
 
 # of the first line of a class: no other class has it, also under a null or repeated id
@@ -140,30 +142,32 @@ def _earlier(y: str, x: str) -> Column:
 
 
 def _differing_bits(y: str, x: str) -> Column:
-    """Differing bits of two parities: of the long ones if both sets have them."""
+    """Differing bits of the long parities of two sets; null if one has none."""
     differ = lambda name: F.col(f"{y}_{name}").bitwiseXOR(F.col(f"{x}_{name}"))
     rest = [F.get(f"{y}_more", k).bitwiseXOR(F.get(f"{x}_more", k)) for k in range(LONG_BITS // 64 - 1)]
     first = reduce(Column.bitwiseXOR, rest, differ("parity"))
-    return F.coalesce(reduce(Column.__add__, map(F.bit_count, rest), F.bit_count(first)), F.bit_count(differ("parity")))
+    return reduce(Column.__add__, map(F.bit_count, rest), F.bit_count(first))
 
 
 def _may_be_similar(y: str, x: str) -> Column:
-    """Length, parity and positional filters for two rows of one token's posting list."""
+    """Length, parity and positional filters for two rows of one token's posting list, the cheapest first."""
     c = lambda side, name: F.col(f"{side}_{name}")
     ny, nx = c(y, "n"), c(x, "n")
     shared = _least_overlap(ny, nx)
+    most = nx + ny - 2 * shared
     return (
         (nx * DENOMINATOR >= ny * NUMERATOR)
         & (ny * DENOMINATOR >= nx * NUMERATOR)
+        & (F.bit_count(c(y, "parity").bitwiseXOR(c(x, "parity"))) <= most)
         & (F.least(ny - c(y, "pos"), nx - c(x, "pos")) + F.least(c(y, "pos"), c(x, "pos")) >= shared)
-        & (_differing_bits(y, x) <= nx + ny - 2 * shared)
+        & ((F.least(ny, nx) < LONG) | (_differing_bits(y, x) <= most))
     )
 
 
 def _list_pairs(ys: DataFrame, xs: DataFrame) -> DataFrame:
     """Pairs of a row y and an earlier row x of one posting list that pass the filters."""
     y, x = ys.select(F.col("token").alias("y_token"), *_named("y")), xs.select(F.col("token").alias("x_token"), *_named("x"))
-    return y.join(x, (F.col("y_token") == F.col("x_token")) & _may_be_similar("y", "x") & _earlier("y", "x")).select(*_PAIR)
+    return y.join(x, (F.col("y_token") == F.col("x_token")) & _earlier("y", "x") & _may_be_similar("y", "x")).select(*_PAIR)
 
 
 def candidate_pairs(posted: DataFrame) -> DataFrame:
@@ -174,75 +178,60 @@ def candidate_pairs(posted: DataFrame) -> DataFrame:
     So a group of variants gives a pair for each variant and not all pairs of variants. Rows whose only
     pairs fail the verification meet their lists again later.
     """
-    same = Window.partitionBy("token", "next").orderBy(*KEY)
+    # one struct over the whole group: the window is run once for each group, not for each row and column
+    same = Window.partitionBy("token", "next").orderBy(*KEY).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # renamed above the window, whose order then serves the join as well
-    headed = posted.withColumns({f"h_{c}": F.first(c).over(same) for c in _ROW})
-    headed = headed.select(F.col("token").alias("y_token"), *_named("y"), *[f"h_{c}" for c in _ROW])
-    headed = headed.withColumn("head", _may_be_similar("y", "h") & _earlier("y", "h"))
+    headed = posted.withColumn("h", F.first(F.struct(*_ROW)).over(same))
+    headed = headed.select(F.col("token").alias("y_token"), *_named("y"), *[F.col("h")[c].alias(f"h_{c}") for c in _ROW])
+    headed = headed.withColumn("head", _earlier("y", "h") & _may_be_similar("y", "h"))
+    headed = headed.select("y_token", *[f"y_{c}" for c in _ROW], *[f"h_{c}" for c in KEY], "head")
     # the same columns on both sides, so that both read one shuffle
     xs = posted.select(F.col("token").alias("x_token"), F.col("next").alias("x_next"), *_named("x"))
-    met = (F.col("y_token") == F.col("x_token")) & ~F.col("head") & _may_be_similar("y", "x") & _earlier("y", "x")
+    met = (F.col("y_token") == F.col("x_token")) & ~F.col("head") & _earlier("y", "x") & _may_be_similar("y", "x")
     joined = headed.join(xs, met, "left").where("head or x_token is not null")
     other = [F.when(F.col("head"), F.col(f"h_{c}")).otherwise(F.col(f"x_{c}")).alias(f"x_{c}") for c in KEY]
-    difference = F.when(F.col("head"), _differing_bits("y", "h")).otherwise(_differing_bits("y", "x"))
-    pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next", difference.alias("difference"))
-    return pairs.groupBy(*_PAIR).agg(*[F.max(c).alias(c) for c in ("head", "x_next", "difference")])
+    pairs = joined.select(*[f"y_{c}" for c in KEY], *other, "head", "x_next")
+    return pairs.groupBy(*_PAIR).agg(*[F.max(c).alias(c) for c in ("head", "x_next")])
 
 
-_PLACE = ["kd", "k1", "line_no"]
-
-
-def _of_pairs(pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """The classes that pairs are of, staged, without their prefixes."""
+def _words_of(pairs: DataFrame, docs: DataFrame, label: str) -> DataFrame:
+    """The classes that pairs are of, with the distinct words of their first lines; staged."""
     keys = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in KEY]) for side in "yx"]
-    wanted = small(stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys"))
-    found = classes.select(*KEY, "c1", "c2").join(wanted, list(KEY), "left_semi")
-    return small(stage(found, label + "-classes"))
-
-
-def _lines_of(pairs: DataFrame, classes: DataFrame, lines: DataFrame, label: str) -> DataFrame:
-    """The classes that pairs are of, with the words of their first lines; staged."""
-    mine = _of_pairs(pairs, classes, label)
-    found = lines.join(mine, _PLACE).groupBy(*KEY).agg(F.min(F.struct("c1", "c2", "line")).alias("o"))
-    return stage(found.select(*KEY, "o.*"), label + "-lines")
+    wanted = stage(keys[0].unionAll(keys[1]).distinct(), label + "-keys")
+    few = wanted.count() <= MAX_BROADCAST_ROWS
+    # few lines: only their documents are split; many: nearly all documents have some
+    lines = line_rows(docs, F.broadcast(wanted.select("kd", "k1").distinct())) if few else line_rows(docs)
+    found = lines.join(F.broadcast(wanted) if few else wanted, list(KEY)).groupBy(*KEY).agg(F.min("line").alias("line"))
+    return stage(found.select(*KEY, F.array_distinct(words(F.col("line"))).alias("words")), label + "-words")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
-    """The keys of the later classes of pairs whose word sets are similar enough, with (c1, c2); staged."""
-    side = lambda s: lines.select(*_named(s, (*KEY, "c1", "c2", "line")))
+def _verified(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """The keys of the later classes of pairs whose word sets are similar enough; staged."""
+    side = lambda s: sets.select(*_named(s, (*KEY, "words")))
     both = pairs.select(*_PAIR).join(side("y"), [f"y_{c}" for c in KEY]).join(side("x"), [f"x_{c}" for c in KEY])
-    names = [F.col(f"y_{c}").alias(c) for c in (*KEY, "c1", "c2")]
-    sets = both.select(*names, F.array_distinct(words(F.col("y_line"))).alias("a"), F.array_distinct(words(F.col("x_line"))).alias("b"))
-    shared = sets.select(*KEY, "c1", "c2", F.size(F.array_intersect("a", "b")).alias("i"), (F.size("a") + F.size("b")).alias("n"))
-    similar = shared.where(F.col("i") * DENOMINATOR >= (F.col("n") - F.col("i")) * NUMERATOR)
-    return stage(similar.select(*KEY, "c1", "c2").distinct(), label)
+    # shared / (all - shared) >= NUMERATOR / DENOMINATOR with the intersection, the dear part, named once
+    shared = F.size(F.array_intersect("y_words", "x_words"))
+    similar = both.where(shared * (NUMERATOR + DENOMINATOR) >= (F.size("y_words") + F.size("x_words")) * NUMERATOR)
+    return stage(similar.select(*[F.col(f"y_{c}").alias(c) for c in KEY]).distinct(), label)
 
 
 def kept_first_lines(docs: DataFrame) -> DataFrame:
     """(kd, k1, line_no) of the lines with a word that stay."""
-    lines = line_rows(docs)
     with scratch():  # the tokens of all words go before their posting lists are written
-        sets = stage(line_sets(lines), "line-sets")
-        classes = stage(line_classes(sets, token_rarity(sets)), "line-classes", keep=True)
+        sets = stage(line_sets(line_rows(docs)), "line-sets", hashes=True)
+        classes = stage(line_classes(sets, token_rarity(sets)), "line-classes", keep=True, hashes=True)
     posted = prefixes(classes)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
-    # the likeliest pair of each class first, then the other pairs of those that it did not settle
-    y_names, x_names = _PAIR[:3], _PAIR[3:]
-    likeliest = F.min_by(F.struct(*x_names), F.struct("difference", *x_names)).alias("x")
-    first = stage(pairs.groupBy(*y_names).agg(likeliest).select(*y_names, "x.*"), "line-first")
-    gone = _verified(first, _lines_of(first, classes, lines, "line-own"), "line-settled")
-    others = pairs.join(gone.select(*_named("y", KEY)), y_names, "left_anti").join(first, _PAIR, "left_anti")
-    others = stage(others.select(*_PAIR), "line-others")
-    gone = gone.unionAll(_verified(others, _lines_of(others, classes, lines, "line-own-more"), "line-settled-more"))
+    gone = _verified(pairs, _words_of(pairs, docs, "line-own"), "line-settled")
     # classes that were paired with heads in vain: the rest of their lists
     y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
     again = stage(pairs.where("head").select(*y_keys).distinct().join(gone, list(KEY), "left_anti"), "line-again")
     if again.take(1):
-        rows = small(stage(posted.join(small(again), list(KEY), "left_semi"), "line-again-rows"))
+        # met before their prefixes are written out, which are of all classes else
+        rows = small(stage(prefixes(classes.join(small(again), list(KEY), "left_semi")), "line-again-rows"))
         rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
-        gone = gone.unionAll(_verified(rest, _lines_of(rest, classes, lines, "line-own-again"), "line-settled-last"))
-    gone = gone.select("c1", "c2").distinct()
-    return classes.select("kd", "k1", "line_no", "c1", "c2").join(gone, ["c1", "c2"], "left_anti").select("kd", "k1", "line_no")
+        gone = gone.unionAll(_verified(rest, _words_of(rest, docs, "line-own-again"), "line-settled-last"))
+    return classes.select(*KEY).join(gone.distinct(), list(KEY), "left_anti").select("kd", "k1", "line_no")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
@@ -262,7 +251,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         "row", F.split("t", "\n").alias("lines"), F.coalesce("keep", F.array().cast("array<int>")).alias("keep")
     )
     full = F.filter("lines", has_word)
-    left = F.filter("lines", lambda x, i: ~has_word(x) | F.array_contains("keep", i))
+    left = F.filter("lines", lambda x, i: F.array_contains("keep", i) | ~has_word(x))
     return joined.select(
         "row",
         F.size(full).cast("long").alias("n_lines"),

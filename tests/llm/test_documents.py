@@ -29,6 +29,7 @@ from matchloom.llm import (
     substring_dedup,
     toxicity,
 )
+from matchloom.llm.common import stage
 
 DIRECTORY = "/root/testdata/sf0.001"
 TOKENIZER = queries.public_tokenizers.path(queries.TOKENIZER)
@@ -527,6 +528,27 @@ def test_variants_of_long_lines(spark):
     assert counts_of(found) == brute_lines(rows)
 
 
+def test_candidate_lines_are_verified_in_one_pass(spark, monkeypatch):
+    """Words are intersected once for each pair, and pairs are not settled in several rounds that read all lines."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        words = [f"v{j}" if rng.random() < 0.93 else f"e{rng.randrange(30)}" for j in range(30)]
+        rows.append((i, " ".join(words) + "\n" + " ".join(f"a{i}b{j}" for j in range(8))))
+    plans = {}
+
+    def seen(df, label, *args, **options):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, label, *args, **options)
+
+    monkeypatch.setattr(line_dedup, "stage", seen)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.line_dedup(df).select("row.doc_id", "n_lines", "n_removed", "kept_text").collect()
+    assert counts_of(found) == brute_lines(rows)
+    assert plans["line-settled"].count("array_intersect(") == 1
+    assert "line-others" not in plans and any("left_semi" in p.lower() or "LeftSemi" in p for k, p in plans.items() if k.endswith("-words"))
+
+
 # decontamination
 
 

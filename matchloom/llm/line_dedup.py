@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,30 +10,30 @@ from matchloom.llm.common import MAX_BROADCAST_ROWS, has_word, scratch, small, s
 # Jaccard similarity as a fraction, so that every bound is exact whole-number arithmetic
 NUMERATOR, DENOMINATOR = 4, 5
 # tokens are ordered by the count of their bucket; any order gives the same result, a better one is quicker
-RARITY_BUCKETS = 1 << 17
-# sets of at least this many words carry a parity of LONG_BITS bits in their posting lists: 64 bits tell
-# short sets apart, but those of any two long sets differ in fewer bits than similar ones may
-LONG, LONG_BITS = 64, 256
+RARITY_BUCKETS = 1 << 19
+# sets of at least this many words carry a second parity of 64 bits in their posting lists: one tells short
+# sets apart, but those of any two long sets differ in fewer bits than similar ones may
+LONG = 64
 
 
 def _bucket(token: Column) -> Column:
     return token.bitwiseAND(F.lit(RARITY_BUCKETS - 1))
 
 
-def token_rarity(sets: DataFrame) -> list[int]:
-    """A level from 0 to 127 per bucket that grows with how often the tokens of the bucket occur in all lines.
+def token_rarity(sets: DataFrame) -> DataFrame:
+    """One row: a level from 0 to 127 per bucket that grows with how often the tokens of the bucket occur in all lines.
 
     Its size is fixed, whatever the data.
     """
     seen = (
         sets.select(F.explode("tokens").alias("t"))
-        .groupBy(_bucket(F.col("t")).alias("b"))
-        .agg(F.least(F.lit(127), F.floor(3 * F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("level"))
+        .groupBy(_bucket(F.col("t")).cast("long").alias("b"))
+        .agg(F.least(F.lit(127), F.floor(3 * F.log2(F.count(F.lit(1)).cast("double")))).cast("byte").alias("level"))
     )
-    levels = [0] * RARITY_BUCKETS
-    for b, level in seen.collect():  # RARITY_BUCKETS rows at most
-        levels[b] = level
-    return levels
+    every = seen.unionAll(sets.sparkSession.range(0, RARITY_BUCKETS, 1, 1).select("id", F.lit(0).cast("byte")))
+    levels = every.groupBy("b").agg(F.max("level").alias("level"))
+    ordered = levels.agg(F.sort_array(F.collect_list(F.struct("b", "level"))).alias("x"))
+    return ordered.select(F.col("x.level").alias("levels"))
 
 
 def line_rows(docs: DataFrame, of: DataFrame | None = None) -> DataFrame:
@@ -51,18 +49,8 @@ def _shift(bit: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _parities(tokens: str, bits: int, start: int = 0) -> Column:
-    """A parity of so many bits as an array of longs, from the ``start``-th on."""
-    return F.array(
-        *[
-            F.aggregate(
-                F.filter(tokens, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(bits // 64 - 1)) == k),  # noqa: B023
-                F.lit(0).cast("long"),
-                lambda a, t: a.bitwiseXOR(_shift(t)),
-            )
-            for k in range(start, bits // 64)
-        ]
-    )
+def _parity(tokens: Column) -> Column:
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(_shift(t)))
 
 
 def line_sets(lines: DataFrame) -> DataFrame:
@@ -72,7 +60,8 @@ def line_sets(lines: DataFrame) -> DataFrame:
     bits of two words are equal, so that sets which share words share as many tokens at least. ``parity`` has
     bit i set if an odd number of the tokens end in i, so sets that differ in few words differ in few bits.
     """
-    hashes = F.sort_array(F.transform(F.array_distinct(words(F.col("line"))), lambda w: F.xxhash64(w)))
+    # distinct hashes, not distinct strings: numbers are quicker to tell apart
+    hashes = F.sort_array(F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))))
     hashed = lines.select("kd", "line_no", "k1", hashes.alias("s"))
     named = hashed.select(
         "kd",
@@ -83,28 +72,29 @@ def line_sets(lines: DataFrame) -> DataFrame:
         F.size("s").alias("n"),
         F.transform("s", lambda h: F.shiftrightunsigned(h, 33).cast("int")).alias("tokens"),
     )
-    parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(_shift(t)))
-    return named.withColumn("parity", parity)
+    return named.withColumn("parity", _parity(F.col("tokens")))
 
 
 def _prefix_size(n: Column) -> Column:
     return (n - F.call_function("div", n * NUMERATOR + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1).cast("int")
 
 
-def line_classes(sets: DataFrame, rarity: list[int]) -> DataFrame:
+def line_classes(sets: DataFrame, rarity: DataFrame) -> DataFrame:
     """One row per distinct set of words: the first line that has it and its rarest tokens, rarest first.
 
-    ``prefix`` has one token more than a similar set must share one of. ``more`` is the parity of LONG_BITS bits
-    of long sets, without its first 64, which follow from ``parity``; null for other sets.
+    ``prefix`` has one token more than a similar set must share one of. ``more`` is the parity of those tokens
+    of a long set whose bit 6 is set; null for other sets.
     """
-    # folded to one array literal before the query runs
-    levels = F.split(F.lit(",".join(str(level << 32) for level in rarity)), ",").cast("array<long>")
+    # a scalar subquery: as a literal the levels are megabytes of text in each description of the plan. It is named
+    # first, as functions over arrays take no subquery, and merged into the next projection by the optimiser
+    leveled = sets.withColumn("levels", rarity.scalar())
     # level and token in one number, so that the order is that of numbers
-    ranked = F.transform("tokens", lambda t: F.get(levels, _bucket(t)).bitwiseOR(t.cast("long")))
+    level = lambda t: F.call_function("shiftleft", F.get("levels", _bucket(t)).cast("long"), F.lit(32))
+    ranked = F.transform("tokens", lambda t: level(t).bitwiseOR(t.cast("long")))
     rarest = F.slice(F.sort_array(ranked), F.lit(1), _prefix_size(F.col("n")) + 1)
     prefix = F.transform(rarest, lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
-    more = F.when(F.col("n") >= LONG, _parities("tokens", LONG_BITS, 1)).alias("more")
-    rows = sets.select("c1", "c2", F.struct("kd", "line_no", "k1", "n", "parity", more, prefix.alias("prefix")).alias("first"))
+    more = F.when(F.col("n") >= LONG, _parity(F.filter("tokens", lambda t: t.bitwiseAND(F.lit(64)) != 0))).alias("more")
+    rows = leveled.select("c1", "c2", F.struct("kd", "line_no", "k1", "n", "parity", more, prefix.alias("prefix")).alias("first"))
     return rows.groupBy("c1", "c2").agg(F.min("first").alias("first")).select("c1", "c2", "first.*")
 
 
@@ -142,11 +132,9 @@ def _earlier(y: str, x: str) -> Column:
 
 
 def _differing_bits(y: str, x: str) -> Column:
-    """Differing bits of the long parities of two sets; null if one has none."""
-    differ = lambda name: F.col(f"{y}_{name}").bitwiseXOR(F.col(f"{x}_{name}"))
-    rest = [F.get(f"{y}_more", k).bitwiseXOR(F.get(f"{x}_more", k)) for k in range(LONG_BITS // 64 - 1)]
-    first = reduce(Column.bitwiseXOR, rest, differ("parity"))
-    return reduce(Column.__add__, map(F.bit_count, rest), F.bit_count(first))
+    """Differing bits of the two parities of two long sets; null if one has no second."""
+    both, more = [F.col(f"{y}_{name}").bitwiseXOR(F.col(f"{x}_{name}")) for name in ("parity", "more")]
+    return F.bit_count(more) + F.bit_count(both.bitwiseXOR(more))
 
 
 def _may_be_similar(y: str, x: str) -> Column:
@@ -219,7 +207,8 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
     """(kd, k1, line_no) of the lines with a word that stay."""
     with scratch():  # the tokens of all words go before their posting lists are written
         sets = stage(line_sets(line_rows(docs)), "line-sets", hashes=True)
-        classes = stage(line_classes(sets, token_rarity(sets)), "line-classes", keep=True, hashes=True)
+        rarity = stage(token_rarity(sets), "line-rarity")
+        classes = stage(line_classes(sets, rarity), "line-classes", keep=True, hashes=True)
     posted = prefixes(classes)
     pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
     gone = _verified(pairs, _words_of(pairs, docs, "line-own"), "line-settled")

@@ -549,6 +549,24 @@ def test_candidate_lines_are_verified_in_one_pass(spark, monkeypatch):
     assert "line-others" not in plans and any("left_semi" in p.lower() or "LeftSemi" in p for k, p in plans.items() if k.endswith("-words"))
 
 
+def test_levels_of_words_stay_out_of_plans_and_rows(spark, monkeypatch):
+    """As a literal, the levels of all buckets stood in each plan's text and filled the driver's memory."""
+    rows = [(i, " ".join(f"v{i * j % 97}" for j in range(4 + i % 90))) for i in range(60)]
+    plans = {}
+
+    def seen(df, label, *args, **options):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, label, *args, **options)
+
+    monkeypatch.setattr(line_dedup, "stage", seen)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.line_dedup(df).select("row.doc_id", "n_lines", "n_removed", "kept_text").collect()
+    assert counts_of(found) == brute_lines(rows)
+    assert max(map(len, plans.values())) < 100_000
+    # read inside the expression that ranks words: a column of its own would be copied into every row
+    assert "scalar-subquery" in plans["line-classes"] and "AS levels" not in plans["line-classes"].split("Subquery")[0]
+
+
 # decontamination
 
 

@@ -103,17 +103,18 @@ def _least_overlap(n: Column, m: Column) -> Column:
     return F.call_function("div", NUMERATOR * (n + m) + (NUMERATOR + DENOMINATOR - 1), F.lit(NUMERATOR + DENOMINATOR))
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
+def prefixes(classes: DataFrame, whole: bool = False) -> DataFrame:
     """The rarest tokens of every class: sets that are similar enough share one of them.
 
     ``next`` is the token that follows in the order. Sets of fewer than four words have no similar set but
-    themselves.
+    themselves. With ``whole``, each row has all of them as ``posted``.
     """
     tokens = F.slice("prefix", F.lit(1), F.size("prefix") - 1)
     rows = classes.where(F.col("n") >= NUMERATOR).select("*", F.posexplode(tokens).alias("pos", "token"))
     # the join asks for this of one side only; asked of both, they read one shuffle
     following = F.get("prefix", F.col("pos") + 1).alias("next")
-    return rows.select("token", following, *KEY, "n", "parity", "more", "pos").where("token is not null and parity is not null")
+    every = [tokens.alias("posted")] if whole else []
+    return rows.select("token", following, *KEY, "n", "parity", "more", "pos", *every).where("token is not null and parity is not null")
 
 
 # of the first line of a class: no other class has it, also under a null or repeated id
@@ -153,9 +154,15 @@ def _may_be_similar(y: str, x: str) -> Column:
 
 
 def _list_pairs(ys: DataFrame, xs: DataFrame) -> DataFrame:
-    """Pairs of a row y and an earlier row x of one posting list that pass the filters."""
-    y, x = ys.select(F.col("token").alias("y_token"), *_named("y")), xs.select(F.col("token").alias("x_token"), *_named("x"))
-    return y.join(x, (F.col("y_token") == F.col("x_token")) & _earlier("y", "x") & _may_be_similar("y", "x")).select(*_PAIR)
+    """Pairs of a row y and an earlier row x of one posting list that pass the filters.
+
+    Similar sets pass them in each list that both are in. Variants of one line are in many, so a pair is
+    made in one list only, that of the least token they share.
+    """
+    names = (*_ROW, "posted")
+    y, x = [of.select(F.col("token").alias(f"{side}_token"), *_named(side, names)) for of, side in ((ys, "y"), (xs, "x"))]
+    least = F.array_min(F.array_intersect("y_posted", "x_posted")) == F.col("y_token")
+    return y.join(x, (F.col("y_token") == F.col("x_token")) & _earlier("y", "x") & _may_be_similar("y", "x") & least).select(*_PAIR)
 
 
 def candidate_pairs(posted: DataFrame) -> DataFrame:
@@ -209,16 +216,15 @@ def kept_first_lines(docs: DataFrame) -> DataFrame:
         sets = stage(line_sets(line_rows(docs)), "line-sets", hashes=True)
         rarity = stage(token_rarity(sets), "line-rarity")
         classes = stage(line_classes(sets, rarity), "line-classes", keep=True, hashes=True)
-    posted = prefixes(classes)
-    pairs = stage(candidate_pairs(posted.repartition("token")), "line-pairs")
+    pairs = stage(candidate_pairs(prefixes(classes).repartition("token")), "line-pairs")
     gone = _verified(pairs, _words_of(pairs, docs, "line-own"), "line-settled")
     # classes that were paired with heads in vain: the rest of their lists
     y_keys = [F.col(f"y_{c}").alias(c) for c in KEY]
     again = stage(pairs.where("head").select(*y_keys).distinct().join(gone, list(KEY), "left_anti"), "line-again")
     if again.take(1):
         # met before their prefixes are written out, which are of all classes else
-        rows = small(stage(prefixes(classes.join(small(again), list(KEY), "left_semi")), "line-again-rows"))
-        rest = stage(_list_pairs(rows, posted).distinct(), "line-again-pairs")
+        rows = small(stage(prefixes(classes.join(small(again), list(KEY), "left_semi"), whole=True), "line-again-rows"))
+        rest = stage(_list_pairs(rows, prefixes(classes, whole=True)).distinct(), "line-again-pairs")
         gone = gone.unionAll(_verified(rest, _words_of(rest, docs, "line-own-again"), "line-settled-last"))
     return classes.select(*KEY).join(gone.distinct(), list(KEY), "left_anti").select("kd", "k1", "line_no")
 

@@ -567,6 +567,17 @@ def test_levels_of_words_stay_out_of_plans_and_rows(spark, monkeypatch):
     assert "scalar-subquery" in plans["line-classes"] and "AS levels" not in plans["line-classes"].split("Subquery")[0]
 
 
+def test_a_pair_is_made_in_one_of_its_lists(spark):
+    """Two variants of one line share nearly all of their posted tokens: they were joined in each such list."""
+    line = " ".join(f"v{j}" for j in range(40))
+    rows = [(i, f"{line} e{i}") for i in range(2)]
+    sets = stage(line_dedup.line_sets(line_dedup.line_rows(spark.createDataFrame(rows, "doc_id long, text string"))), "sets")
+    classes = stage(line_dedup.line_classes(sets, stage(line_dedup.token_rarity(sets), "rarity")), "classes")
+    posted = line_dedup.prefixes(classes, whole=True)
+    lists = posted.groupBy("token").count().where("count > 1").count()
+    assert lists > 1 and line_dedup._list_pairs(posted, posted).count() == 1
+
+
 # decontamination
 
 

@@ -27,6 +27,36 @@ def test_stacking_equals_joining(spark, a, b, c):
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, stacked.select(*joined.columns).collect()))
 
 
+def chained(frames, keys):
+    """The plain form: one full join after the other."""
+    seen, out = set(keys), None
+    for df in frames.values():
+        own = df.select(*[c for c in df.columns if c in keys or c not in seen])
+        seen.update(df.columns)
+        out = own if out is None else out.join(own.distinct(), keys, "full")
+    return out
+
+
+@SLOW
+@given(ROWS, ROWS, ROWS)
+def test_joining_in_one_shuffle_equals_a_chain_of_full_joins(spark, a, b, c):
+    frames = {
+        "summary": spark.createDataFrame(a + a[:2], "k int, n int, x int, y int"),
+        "keeper": spark.createDataFrame(b + b[:2], "k int, n int, y int, z int"),
+        "passing": spark.createDataFrame(b[1:], "k int, n int, y int, x int"),
+        "misc": spark.createDataFrame(c + c[:1], "k int, n int, z int, `w 1+2` int"),
+    }
+    joined, plain = ops.join_families(frames, ["k", "n"]), chained(frames, ["k", "n"])
+    assert joined.columns == plain.columns
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_families_are_shuffled_once(spark):
+    frames = {f: spark.range(5).selectExpr("id AS k", f"id AS {f}") for f in ("summary", "keeper", "misc")}
+    plan = ops.join_families(frames, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def results(spark):
     base = "https://x/m/"
     rows = [

@@ -150,3 +150,12 @@ def test_families_share_one_join(spark):
 
     for df in short_families(spark, "/root/testdata/sf0.001").values():
         assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_tables_are_staged_small(spark):
+    from matchloom.session import materialize
+
+    rows = spark.range(10).selectExpr("id", "CAST(id AS string) AS name")
+    kept = materialize(rows, "small", "zstd")
+    assert all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+    assert sorted(kept.collect()) == sorted(rows.collect())
